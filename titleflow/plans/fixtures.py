@@ -205,3 +205,21 @@ def lookup_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(et == "signup", F.lit("")).otherwise(F.lit("}")),
     )
     return e.select(_id("tt", "event_id").alias("tconst"), body.alias("body"))
+
+
+def ratings_load(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
+    """Two successive rating extracts for the upsert.
+
+    Load 1 holds the titles of orders not in status ``P``; load 2 holds
+    those not in status ``F``, with one more vote each.  So load 2 updates
+    the ``O`` titles, inserts the ``P`` ones and leaves the ``F`` ones.
+    """
+    o = table(spark, sf_dir, "orders")
+    price = F.col("o_totalprice")
+    votes = F.floor(price / 100) + (1 if load == 2 else 0)
+    skip = "P" if load == 1 else "F"
+    return o.filter(F.col("o_orderstatus") != skip).select(
+        _id("tt", "o_orderkey").alias("tconst"),
+        _str(F.floor(price / 5000) / F.lit(10.0)).alias("averageRating"),
+        _str(votes).alias("numVotes"),
+    )

@@ -313,3 +313,99 @@ SELECT tconst, {_render('directors')}, {_render('writers')} FROM people_lists
 WHERE directors IS NOT NULL OR writers IS NOT NULL
 """,
 )
+
+# ------------------------------------------------------------------ cleaning
+for _key, _table in (
+    ("clean_sentinel_int", "title_basics"),
+    ("clean_numeric", "title_ratings"),
+    ("clean_boolean", "title_akas"),
+    ("clean_required", "title_principals"),
+    ("clean_title_episode", "title_episode"),
+    ("clean_title_crew", "title_crew"),
+    ("clean_name_basics", "name_basics"),
+):
+    query(_key, f"SELECT * FROM silver_{_table}")
+
+# ------------------------------------------------------------------ sampling
+cte(
+    "banded_ratings",
+    """
+SELECT tconst, averageRating, numVotes,
+       CASE WHEN averageRating <= 4 THEN 'low'
+            WHEN averageRating <= 6 THEN 'medium_low'
+            WHEN averageRating <= 8 THEN 'medium_high'
+            ELSE 'high' END AS rating_group
+FROM silver_title_ratings WHERE numVotes >= 1000
+""",
+)
+query(
+    "rating_histogram",
+    """
+SELECT CAST(floor(averageRating) AS BIGINT) AS rating_floor, count(*) AS count
+FROM silver_title_ratings GROUP BY 1
+""",
+)
+query("rating_band", "SELECT * FROM banded_ratings")
+query(
+    "stratified_sample",
+    """
+SELECT tconst, averageRating, numVotes, rating_group FROM (
+  SELECT *, row_number() OVER (PARTITION BY rating_group ORDER BY md5(tconst || ':42'), tconst) AS rn
+  FROM banded_ratings) s
+WHERE rn <= CASE rating_group WHEN 'low' THEN 600 WHEN 'medium_low' THEN 900
+                              WHEN 'medium_high' THEN 900 WHEN 'high' THEN 600 ELSE 0 END
+""",
+)
+
+# ------------------------------------------------------------------ upsert
+cte(
+    "ratings_load_1",
+    """
+SELECT 'tt' || o_orderkey AS tconst,
+       CAST(CAST(floor(o_totalprice / 5000) AS BIGINT) / 10.0 AS VARCHAR) AS averageRating,
+       CAST(CAST(floor(o_totalprice / 100) AS BIGINT) AS VARCHAR) AS numVotes
+FROM orders WHERE o_orderstatus <> 'P'
+""",
+)
+cte(
+    "ratings_load_2",
+    """
+SELECT 'tt' || o_orderkey AS tconst,
+       CAST(CAST(floor(o_totalprice / 5000) AS BIGINT) / 10.0 AS VARCHAR) AS averageRating,
+       CAST(CAST(floor(o_totalprice / 100) AS BIGINT) + 1 AS VARCHAR) AS numVotes
+FROM orders WHERE o_orderstatus <> 'F'
+""",
+)
+query(
+    "upsert",
+    """
+SELECT tconst, averageRating, numVotes FROM ratings_load_2
+UNION ALL
+SELECT t.tconst, t.averageRating, t.numVotes FROM ratings_load_1 t
+WHERE NOT EXISTS (SELECT 1 FROM ratings_load_2 s WHERE s.tconst = t.tconst)
+""",
+)
+
+# ------------------------------------------------------------------ enrichment
+cte(
+    "parsed_replies",
+    """
+SELECT tconst,
+       CASE WHEN ok THEN json_extract_string(jb, '$.Title') END AS title,
+       CASE WHEN ok THEN TRY_CAST(json_extract_string(jb, '$.Year') AS INTEGER) END AS year,
+       CASE WHEN ok THEN json_extract_string(jb, '$.Plot') END AS plot
+FROM (SELECT tconst, jb, coalesce(json_extract_string(jb, '$.Response') = 'True', false) AS ok
+      FROM (SELECT tconst, CASE WHEN json_valid(body) THEN body END AS jb FROM lookup_responses) v) r
+""",
+)
+query("parse_lookup_response", "SELECT * FROM parsed_replies WHERE plot IS NOT NULL AND plot <> 'N/A'")
+query(
+    "enrichment_coverage",
+    """
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE plot IS NOT NULL AND plot <> 'N/A') AS with_plot,
+       CASE WHEN count(*) = 0 THEN NULL
+            ELSE count(*) FILTER (WHERE plot IS NOT NULL AND plot <> 'N/A') * 100.0 / count(*) END AS pct_with_plot
+FROM parsed_replies
+""",
+)

@@ -45,3 +45,77 @@ def q_people_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_csv_people_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = A.crew_lists(silver(spark, sf_dir, "title_crew"), silver(spark, sf_dir, "name_basics"))
     return _render(lists, "directors", "writers")
+
+
+# ------------------------------------------------------------------ cleaning
+def _clean_query(table: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        from titleflow.operators.clean import clean
+        from titleflow.plans.domain import bronze
+
+        return clean(bronze(spark, sf_dir, table), table)
+
+    return run
+
+
+for _key, _table in (
+    ("clean_sentinel_int", "title_basics"),
+    ("clean_numeric", "title_ratings"),
+    ("clean_boolean", "title_akas"),
+    ("clean_required", "title_principals"),
+    ("clean_title_episode", "title_episode"),
+    ("clean_title_crew", "title_crew"),
+    ("clean_name_basics", "name_basics"),
+):
+    register(_key)(_clean_query(_table))
+
+
+# ------------------------------------------------------------------ sampling
+SAMPLE_TOTAL = 3000  # sample size of the registered query (the operator's default is the source's 300,000)
+
+
+@register("rating_histogram")
+def q_rating_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.sample import rating_histogram
+
+    return rating_histogram(silver(spark, sf_dir, "title_ratings"))
+
+
+@register("rating_band")
+def q_rating_band(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.sample import with_rating_band
+
+    return with_rating_band(silver(spark, sf_dir, "title_ratings"))
+
+
+@register("stratified_sample")
+def q_stratified_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.sample import sample_titles
+
+    return sample_titles(silver(spark, sf_dir, "title_ratings"), total=SAMPLE_TOTAL)
+
+
+# ------------------------------------------------------------------ upsert
+@register("upsert")
+def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.upsert import merge_frames
+    from titleflow.plans.fixtures import ratings_load
+
+    return merge_frames(ratings_load(spark, sf_dir, 1), ratings_load(spark, sf_dir, 2), ["tconst"])
+
+
+# ------------------------------------------------------------------ enrichment
+@register("parse_lookup_response")
+def q_parse_lookup_response(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.enrich import title_plots
+    from titleflow.plans.fixtures import lookup_responses
+
+    return title_plots(lookup_responses(spark, sf_dir))
+
+
+@register("enrichment_coverage")
+def q_enrichment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.enrich import coverage, parse_replies
+    from titleflow.plans.fixtures import lookup_responses
+
+    return coverage(parse_replies(lookup_responses(spark, sf_dir)))
