@@ -281,6 +281,11 @@ LEFT JOIN people_lists l ON p.tconst = l.tconst
 )
 
 
+def r6(expr: str) -> str:
+    """Six decimals, computed as in the Spark queries (ties alike)."""
+    return f"floor(({expr}) * 1e6 + 0.5) / 1e6"
+
+
 def _render(col: str) -> str:
     return f"array_to_string({col}, '|') AS {col}"
 
@@ -409,3 +414,115 @@ SELECT count(*) AS total,
 FROM parsed_replies
 """,
 )
+
+# ------------------------------------------------------------------ features
+cte(
+    "person_stats",
+    r"""
+SELECT nconst, role, CAST(avg(CAST(rating AS DECIMAL(38,18))) AS DOUBLE) AS score_role FROM (
+  SELECT l.tconst, l.role, l.nconst, max(r.averageRating) AS rating
+  FROM people_long l JOIN silver_title_ratings r ON l.tconst = r.tconst
+  WHERE l.nconst <> '\N'
+  GROUP BY l.tconst, l.role, l.nconst) t
+GROUP BY nconst, role
+""",
+)
+cte("name_index", "SELECT DISTINCT primaryName AS name, nconst FROM silver_name_basics")
+cte("global_avg", "SELECT avg(averageRating) AS global_avg FROM silver_title_ratings")
+cte(
+    "gold_role_long",
+    """
+SELECT tconst, 'actor' AS role, unnest(actors) AS name FROM gold_prediction_input
+UNION ALL SELECT tconst, 'director' AS role, unnest(directors) AS name FROM gold_prediction_input
+UNION ALL SELECT tconst, 'writer' AS role, unnest(writers) AS name FROM gold_prediction_input
+""",
+)
+cte(
+    "gold_role_agg",
+    """
+SELECT l.tconst,
+  avg(CASE WHEN l.role = 'actor' THEN s.score_role END) AS actor_score_mean,
+  max(CASE WHEN l.role = 'actor' THEN s.score_role END) AS actor_score_max,
+  avg(CASE WHEN l.role = 'director' THEN s.score_role END) AS director_score_mean,
+  max(CASE WHEN l.role = 'director' THEN s.score_role END) AS director_score_max,
+  avg(CASE WHEN l.role = 'writer' THEN s.score_role END) AS writer_score_mean,
+  max(CASE WHEN l.role = 'writer' THEN s.score_role END) AS writer_score_max
+FROM gold_role_long l
+JOIN name_index n ON l.name = n.name
+JOIN person_stats s ON s.nconst = n.nconst AND s.role = l.role
+GROUP BY l.tconst
+""",
+)
+query("person_stats", f"SELECT nconst, role, {r6('score_role')} AS score_role FROM person_stats")
+query("name_index", "SELECT name, nconst FROM name_index")
+_score_cols = [f"{r}_score_{s}" for r in ("actor", "director", "writer") for s in ("mean", "max")]
+query(
+    "role_scores",
+    "SELECT g.tconst, "
+    + ", ".join(f"{r6(f'coalesce(a.{c}, ga.global_avg)')} AS {c}" for c in _score_cols)
+    + """
+FROM gold_prediction_input g LEFT JOIN gold_role_agg a ON g.tconst = a.tconst, global_avg ga
+""",
+)
+query(
+    "year_zscore",
+    f"""
+SELECT g.tconst, g.year, {r6('(g.year - s.mu) / s.sigma')} AS startYear_z
+FROM gold_prediction_input g, (
+  SELECT coalesce(avg(year), 0.0) AS mu,
+         CASE WHEN stddev_samp(year) IS NULL OR stddev_samp(year) = 0 THEN 1.0 ELSE stddev_samp(year) END AS sigma
+  FROM gold_prediction_input) s
+""",
+)
+cte(
+    "basics_genres",
+    r"""
+SELECT tconst,
+       CASE WHEN genres IS NULL THEN []::VARCHAR[]
+            ELSE list_filter(list_transform(string_split_regex(trim(genres), '\s*,\s*'), lambda x: trim(x)),
+                             lambda x: x IS NOT NULL AND x <> '' AND x <> '\N') END AS genres_list
+FROM silver_title_basics
+""",
+)
+query("normalize_list", "SELECT tconst, array_to_string(genres_list, '|') AS genres_list FROM basics_genres")
+query(
+    "genre_multihot",
+    """
+SELECT g.tconst,
+       string_agg(CASE WHEN list_contains(g.genres_list, v.genre) THEN '1' ELSE '0' END, '|' ORDER BY v.genre) AS genre_vector
+FROM basics_genres g, (SELECT DISTINCT unnest(genres_list) AS genre FROM basics_genres) v
+GROUP BY g.tconst
+""",
+)
+
+# ------------------------------------------------------------------ text
+cte(
+    "plot_tokens",
+    r"""
+SELECT tconst, term, count(*) AS tf FROM (
+  SELECT tconst, unnest(regexp_extract_all(lower(coalesce(plot, '')), '[\p{L}\p{N}_]{2,}')) AS term
+  FROM silver_title_plots) t
+GROUP BY tconst, term
+""",
+)
+cte(
+    "plot_vocab",
+    """
+SELECT term, df FROM (
+  SELECT term, count(*) AS df, sum(tf) AS cf FROM plot_tokens GROUP BY term) s
+WHERE df >= 3
+ORDER BY cf DESC, term ASC
+LIMIT 2000
+""",
+)
+cte(
+    "plot_tfidf",
+    """
+SELECT tconst, term, w / sqrt(sum(w * w) OVER (PARTITION BY tconst)) AS weight FROM (
+  SELECT t.tconst, t.term, t.tf * (ln((n.n + 1.0) / (v.df + 1.0)) + 1.0) AS w
+  FROM plot_tokens t JOIN plot_vocab v ON t.term = v.term,
+       (SELECT count(*) AS n FROM silver_title_plots) n) x
+""",
+)
+query("tokens", "SELECT tconst, term, tf FROM plot_tokens")
+query("tfidf", f"SELECT tconst, term, {r6('weight')} AS weight FROM plot_tfidf")

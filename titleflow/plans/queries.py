@@ -119,3 +119,81 @@ def q_enrichment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.plans.fixtures import lookup_responses
 
     return coverage(parse_replies(lookup_responses(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ features
+def _lookups(spark: SparkSession, sf_dir: str):
+    from titleflow.operators import features as Fe
+
+    s = lambda n: silver(spark, sf_dir, n)
+    stats = Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"))
+    return Fe.name_index(s("name_basics")), stats, Fe.global_avg(s("title_ratings"))
+
+
+def _r6(df: DataFrame, *cols: str) -> DataFrame:
+    """Six decimals as ``floor(x * 1e6 + 0.5) / 1e6``: the same IEEE steps in
+    every engine, so exact ties round alike (``round`` differs on them)."""
+    q = lambda c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    return df.select(*[q(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("person_stats")
+def q_person_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, stats, _ = _lookups(spark, sf_dir)
+    return _r6(stats, "score_role")
+
+
+@register("name_index")
+def q_name_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import name_index
+
+    return name_index(silver(spark, sf_dir, "name_basics"))
+
+
+@register("role_scores")
+def q_role_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import SCORE_COLS, role_scores
+
+    idx, stats, gavg = _lookups(spark, sf_dir)
+    base = gold(spark, sf_dir).select("tconst", "actors", "directors", "writers")
+    out = role_scores(base, idx, stats, gavg.scalar())
+    return _r6(out.select("tconst", *SCORE_COLS), *SCORE_COLS)
+
+
+@register("year_zscore")
+def q_year_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import year_zscore
+
+    base = gold(spark, sf_dir).select("tconst", "year")
+    return _r6(year_zscore(base), "startYear_z")
+
+
+@register("normalize_list")
+def q_normalize_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import normalize_list
+
+    base = silver(spark, sf_dir, "title_basics").select("tconst", "genres")
+    return _render(normalize_list(base, "genres", "genres_list").select("tconst", "genres_list"), "genres_list")
+
+
+@register("genre_multihot")
+def q_genre_multihot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import genre_multihot, multihot_text, normalize_list
+
+    base = normalize_list(silver(spark, sf_dir, "title_basics").select("tconst", "genres"), "genres")
+    return genre_multihot(base).select("tconst", multihot_text("genres_vec").alias("genre_vector"))
+
+
+# ------------------------------------------------------------------ text
+@register("tokens")
+def q_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.text import tokens
+
+    return tokens(silver(spark, sf_dir, "title_plots"))
+
+
+@register("tfidf")
+def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.text import tfidf_long
+
+    return _r6(tfidf_long(silver(spark, sf_dir, "title_plots")), "weight")
