@@ -223,3 +223,21 @@ def ratings_load(spark: SparkSession, sf_dir: str, load: int) -> DataFrame:
         _str(F.floor(price / 5000) / F.lit(10.0)).alias("averageRating"),
         _str(votes).alias("numVotes"),
     )
+
+
+def scoring_requests(gold: DataFrame, top_k: int = 3) -> DataFrame:
+    """One scoring request per gold title: "what if this title's people
+    were recombined?" -- its genres, plot and actor / director / writer
+    lists, asking for the best ``top_k`` combinations.  The number of
+    requests grows with the catalogue."""
+    from titleflow.functions.columns import as_list
+
+    return gold.select(
+        F.col("tconst").alias("request_id"),
+        as_list(F.col("genres"), gold.schema["genres"].dataType).alias("genres"),
+        "plot",
+        "actors",
+        "directors",
+        "writers",
+        F.lit(top_k).alias("top_k"),
+    )

@@ -526,3 +526,96 @@ SELECT tconst, term, w / sqrt(sum(w * w) OVER (PARTITION BY tconst)) AS weight F
 )
 query("tokens", "SELECT tconst, term, tf FROM plot_tokens")
 query("tfidf", f"SELECT tconst, term, {r6('weight')} AS weight FROM plot_tfidf")
+
+# ------------------------------------------------------------------ model
+SPLIT = "(('0x' || substr(md5({k} || ':42'), 1, 8))::BIGINT / 4294967296.0 < 0.2)"
+query("train_test_split", f"SELECT tconst, {SPLIT.format(k='tconst')} AS is_test FROM silver_title_ratings")
+query(
+    "regression_metrics",
+    f"""
+SELECT count(*) AS n,
+       {r6('sqrt(avg((p - y) * (p - y)))')} AS rmse,
+       {r6('avg(abs(p - y))')} AS mae,
+       {r6('1.0 - avg((p - y) * (p - y)) / nullif(var_pop(y), 0.0)')} AS r2
+FROM (
+  SELECT g.averageRating AS y, coalesce(a.actor_score_mean, ga.global_avg) AS p
+  FROM gold_prediction_input g LEFT JOIN gold_role_agg a ON g.tconst = a.tconst, global_avg ga
+  WHERE {SPLIT.format(k='g.tconst')}) t
+""",
+)
+
+# ------------------------------------------------------------------ scenarios
+cte(
+    "scoring_requests",
+    r"""
+SELECT tconst AS request_id,
+       CASE WHEN genres IS NULL THEN []::VARCHAR[]
+            ELSE list_filter(list_transform(string_split_regex(trim(genres), '\s*,\s*'), lambda x: trim(x)),
+                             lambda x: x IS NOT NULL AND x <> '' AND x <> '\N') END AS genres,
+       plot, actors, directors, writers, 3 AS top_k
+FROM gold_prediction_input
+""",
+)
+cte(
+    "req_long",
+    """
+SELECT request_id, 'actor' AS role, unnest(actors) AS name, generate_subscripts(actors, 1) - 1 AS pos FROM scoring_requests
+UNION ALL
+SELECT request_id, 'director' AS role, unnest(directors) AS name, generate_subscripts(directors, 1) - 1 AS pos FROM scoring_requests
+UNION ALL
+SELECT request_id, 'writer' AS role, unnest(writers) AS name, generate_subscripts(writers, 1) - 1 AS pos FROM scoring_requests
+""",
+)
+cte(
+    "req_scored",
+    """
+SELECT l.request_id, l.role, l.pos, l.name, coalesce(s.mean, g.global_avg) AS mean
+FROM req_long l
+LEFT JOIN (
+  SELECT l2.request_id, l2.role, l2.pos, avg(ps.score_role) AS mean
+  FROM req_long l2
+  JOIN name_index n ON l2.name = n.name
+  JOIN person_stats ps ON ps.nconst = n.nconst AND ps.role = l2.role
+  GROUP BY l2.request_id, l2.role, l2.pos) s
+ON l.request_id = s.request_id AND l.role = s.role AND l.pos = s.pos,
+global_avg g
+""",
+)
+cte(
+    "req_combos",
+    """
+SELECT a.request_id, a.pos AS a_pos, d.pos AS d_pos, w.pos AS w_pos,
+       a.name AS actor, d.name AS director, w.name AS writer,
+       a.name || ' + ' || d.name || ' + ' || w.name AS combination,
+       a.mean AS am, d.mean AS dm, w.mean AS wm
+FROM req_scored a
+JOIN req_scored d ON a.request_id = d.request_id AND d.role = 'director'
+JOIN req_scored w ON a.request_id = w.request_id AND w.role = 'writer'
+WHERE a.role = 'actor'
+""",
+)
+query(
+    "validate_requests",
+    """
+SELECT request_id, reason IS NULL AS is_valid, reason FROM (
+  SELECT request_id,
+         CASE WHEN plot IS NULL OR trim(plot) = '' THEN 'missing plot'
+              WHEN genres IS NULL OR len(genres) = 0 THEN 'missing genres'
+              WHEN directors IS NULL OR len(directors) = 0 THEN 'missing director' END AS reason
+  FROM scoring_requests) v
+""",
+)
+query(
+    "combinations",
+    "SELECT request_id, a_pos, d_pos, w_pos, actor, director, writer, combination FROM req_combos",
+)
+query(
+    "topk_per_request",
+    f"""
+SELECT request_id, rank, combination, score FROM (
+  SELECT request_id, combination, score,
+         row_number() OVER (PARTITION BY request_id ORDER BY score DESC, combination, a_pos, d_pos, w_pos) AS rank
+  FROM (SELECT *, {r6('(am + dm + wm) / 3.0')} AS score FROM req_combos) c) r
+WHERE rank <= 3
+""",
+)

@@ -197,3 +197,107 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.operators.text import tfidf_long
 
     return _r6(tfidf_long(silver(spark, sf_dir, "title_plots")), "weight")
+
+
+# ------------------------------------------------------------------ model
+def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.model import feature_frame
+
+    idx, stats, gavg = _lookups(spark, sf_dir)
+    return feature_frame(gold(spark, sf_dir), idx, stats, gavg.scalar())
+
+
+@register("train_test_split")
+def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.model import split_flag
+
+    return silver(spark, sf_dir, "title_ratings").select("tconst", split_flag("tconst").alias("is_test"))
+
+
+@register("regression_metrics")
+def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of a supplied predictor on the held-out part: the title's
+    actor score (a baseline the SQL oracle can compute too)."""
+    from titleflow.operators.model import regression_metrics, split_flag
+
+    feats = _features(spark, sf_dir).filter(split_flag("tconst"))
+    pred = feats.select("averageRating", F.col("actor_score_mean").alias("prediction"))
+    return _r6(regression_metrics(pred), "rmse", "mae", "r2")
+
+
+@register("svd_text")
+def q_svd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators import text as Tx
+
+    plots = silver(spark, sf_dir, "title_plots")
+    tm = Tx.fit_text_features(plots)
+    vecs = tm.transform(plots).select("tconst", "tfidf").checkpoint(eager=True)
+    v = Tx.fit_svd(vecs)
+    return Tx.svd_project(vecs, v).select("tconst", F.col("svd"))
+
+
+@register("train_features")
+def q_train_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    from titleflow.operators.model import TrainConfig, _prep_stages, train_test_split
+
+    feats = _features(spark, sf_dir).checkpoint(eager=True)
+    train, _ = train_test_split(feats)
+    prep = PipelineModel(stages=_prep_stages(train, TrainConfig()))
+    return prep.transform(feats).select("tconst", vector_to_array("features").alias("features"), "averageRating")
+
+
+@register("score_titles")
+def q_score_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.model import fit_model, predict, train_test_split
+
+    train, test = train_test_split(_features(spark, sf_dir))
+    model = fit_model(train)
+    return predict(model, test, keep=("tconst", "averageRating"))
+
+
+# ------------------------------------------------------------------ scenarios
+def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.plans.fixtures import scoring_requests
+
+    return scoring_requests(gold(spark, sf_dir))
+
+
+@register("validate_requests")
+def q_validate_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.scenario import validate_requests
+
+    return validate_requests(_requests(spark, sf_dir))
+
+
+@register("combinations")
+def q_combinations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.scenario import combinations
+
+    return combinations(_requests(spark, sf_dir))
+
+
+@register("topk_per_request")
+def q_topk_per_request(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Top-k per request over a supplied score: the mean of the three
+    people's role scores (SQL-computable), six decimals."""
+    from titleflow.operators.scenario import scored_combinations, top_k
+
+    idx, stats, gavg = _lookups(spark, sf_dir)
+    combos = scored_combinations(_requests(spark, sf_dir), idx, stats, gavg.scalar(), carry=("top_k",))
+    mean3 = (F.col("actor_score_mean") + F.col("director_score_mean") + F.col("writer_score_mean")) / F.lit(3.0)
+    scored = _r6(combos.withColumn("score", mean3), "score")
+    return top_k(scored, "score")
+
+
+@register("scenario_scoring")
+def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.model import fit_model, train_test_split
+    from titleflow.operators.scenario import score_requests
+
+    idx, stats, gavg = _lookups(spark, sf_dir)
+    train, _ = train_test_split(_features(spark, sf_dir))
+    model = fit_model(train)
+    return score_requests(model, _requests(spark, sf_dir), idx, stats, gavg.scalar())
