@@ -241,3 +241,26 @@ def scoring_requests(gold: DataFrame, top_k: int = 3) -> DataFrame:
         "writers",
         F.lit(top_k).alias("top_k"),
     )
+
+
+def ratings_by_load_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze ratings tagged with a landing date: January 1st of the
+    order's year, so each year's titles land in their own partition."""
+    o = table(spark, sf_dir, "orders")
+    r = bronze_title_ratings(spark, sf_dir)
+    return r.join(
+        o.select(_id("tt", "o_orderkey").alias("tconst"), F.concat(_str(F.year("o_orderdate")), F.lit("-01-01")).alias("load_date")),
+        "tconst",
+    )
+
+
+# Landing names of the seven extracts (fixed values of the source files).
+EXTRACTS = {
+    "title.basics": "title_basics",
+    "title.akas": "title_akas",
+    "title.crew": "title_crew",
+    "title.episode": "title_episode",
+    "title.principals": "title_principals",
+    "title.ratings": "title_ratings",
+    "name.basics": "name_basics",
+}

@@ -619,3 +619,23 @@ SELECT request_id, rank, combination, score FROM (
 WHERE rank <= 3
 """,
 )
+
+# ------------------------------------------------------------------ sources and sinks
+query("tsv_roundtrip", "SELECT * FROM bronze_title_basics")
+query(
+    "latest_partition",
+    """
+SELECT r.tconst, r.averageRating, r.numVotes
+FROM bronze_title_ratings r JOIN orders o ON r.tconst = 'tt' || o.o_orderkey
+WHERE year(o.o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)
+""",
+)
+query(
+    "derive_table_name",
+    "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM bronze_{t}"
+        for t in ("title_basics", "title_akas", "title_crew", "title_episode", "title_principals", "title_ratings", "name_basics")
+    ),
+)
+SQL["export_json"] = SQL["assemble_gold"]
+SQL["landing_stream_ingest"] = SQL["upsert"]

@@ -301,3 +301,77 @@ def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = train_test_split(_features(spark, sf_dir))
     model = fit_model(train)
     return score_requests(model, _requests(spark, sf_dir), idx, stats, gavg.scalar())
+
+
+# ------------------------------------------------------------------ sources and sinks
+LOAD_DATE = "2024-01-01"
+
+
+@register("tsv_roundtrip")
+def q_tsv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land bronze title basics as gzip TSV, read them back as text."""
+    from titleflow.plans.domain import bronze
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import read_landing, write_landing
+
+    root = shared_path(spark, "landing")
+    write_landing(bronze(spark, sf_dir, "title_basics"), root, "title.basics", LOAD_DATE)
+    return read_landing(spark, root, "title.basics")
+
+
+@register("latest_partition")
+def q_latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land ratings under one load date per year, read only the newest."""
+    from titleflow.plans.fixtures import ratings_by_load_year
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import read_landing, write_landing
+
+    root = shared_path(spark, "landing")
+    write_landing(ratings_by_load_year(spark, sf_dir), root, "title.ratings")
+    return read_landing(spark, root, "title.ratings")
+
+
+@register("derive_table_name")
+def q_derive_table_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land all seven extracts, scan them in one read and count rows per
+    table name derived from each file's path."""
+    from titleflow.plans.domain import bronze
+    from titleflow.plans.fixtures import EXTRACTS
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import read_tsv, table_name, write_landing
+
+    root = shared_path(spark, "landing")
+    for landed, tbl in EXTRACTS.items():
+        write_landing(bronze(spark, sf_dir, tbl), root, landed, LOAD_DATE)
+    files = read_tsv(spark, root, recursiveFileLookup="true")
+    return files.groupBy(table_name().alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("export_json")
+def q_export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the gold table as JSON lines and read it back typed."""
+    from titleflow.session import shared_path
+    from titleflow.sources.tables import export_json, read_json
+
+    g = gold(spark, sf_dir)
+    path = shared_path(spark, "export", "prediction_input")
+    export_json(g, path)
+    return _render(read_json(spark, path, g.schema), "directors", "writers", "actors")
+
+
+@register("landing_stream_ingest")
+def q_landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rating extracts land one after the other; a streaming ingest
+    (availableNow) merges each into bronze on tconst."""
+    from titleflow.plans.fixtures import ratings_load
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import landing_path, write_landing
+    from titleflow.streaming.ingest import ingest_available, latest_rows, string_schema
+
+    root = shared_path(spark, "stream")
+    landing, bronze_root, ckpt = f"{root}/landing", f"{root}/bronze/title_ratings", f"{root}/_checkpoints/title_ratings"
+    schema = string_schema(["tconst", "averageRating", "numVotes"])
+    for load, day in ((1, "2024-01-01"), (2, "2024-01-02")):
+        write_landing(ratings_load(spark, sf_dir, load), landing, "title.ratings", day)
+        ingest_available(spark, landing_path(landing, "title.ratings"), schema, bronze_root, ckpt, ["tconst"])
+    return latest_rows(spark, bronze_root).drop("_processing_time")
