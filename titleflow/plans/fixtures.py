@@ -25,7 +25,10 @@ from pyspark.sql import functions as F
 
 from titleflow.functions.columns import NULL_MARKER
 
-MARK = F.lit(NULL_MARKER)
+
+
+def _mark() -> Column:
+    return F.lit(NULL_MARKER)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,13 +78,13 @@ def bronze_title_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("tt", "o_orderkey").alias("tconst"),
         F.lit("movie").alias("titleType"),
         F.concat(F.lit("Title "), _str(F.col("o_orderkey"))).alias("primaryTitle"),
-        F.when((prio == "5-LOW") & (status == "P"), MARK).otherwise(_str(year)).alias("startYear"),
-        F.when(status == "F", _str(year + 1)).otherwise(MARK).alias("endYear"),
-        F.when((prio == "3-MEDIUM") & (status == "O"), MARK)
+        F.when((prio == "5-LOW") & (status == "P"), _mark()).otherwise(_str(year)).alias("startYear"),
+        F.when(status == "F", _str(year + 1)).otherwise(_mark()).alias("endYear"),
+        F.when((prio == "3-MEDIUM") & (status == "O"), _mark())
         .otherwise(_str(F.lit(60) + F.floor(price / 5000)))
         .alias("runtimeMinutes"),
         F.when(prio == "1-URGENT", F.lit("1")).otherwise(F.lit("0")).alias("isAdult"),
-        F.coalesce(F.col("genres"), MARK).alias("genres"),
+        F.coalesce(F.col("genres"), _mark()).alias("genres"),
     )
 
 
@@ -101,14 +104,14 @@ def bronze_name_basics(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select(
         _id("ns", "s_suppkey").alias("nconst"),
         F.regexp_replace("s_name", "^Supplier", "Person").alias("primaryName"),
-        F.when(F.col("s_acctbal") < 0, MARK).otherwise(_str(F.lit(1930) + F.col("s_nationkey"))).alias("birthYear"),
-        MARK.alias("deathYear"),
+        F.when(F.col("s_acctbal") < 0, _mark()).otherwise(_str(F.lit(1930) + F.col("s_nationkey"))).alias("birthYear"),
+        _mark().alias("deathYear"),
     )
     c = table(spark, sf_dir, "customer").select(
         _id("nc", "c_custkey").alias("nconst"),
         F.regexp_replace("c_name", "^Customer", "Person").alias("primaryName"),
         _str(F.lit(1940) + F.col("c_nationkey")).alias("birthYear"),
-        F.when(F.col("c_acctbal") < 0, _str(F.lit(2000) + F.col("c_nationkey"))).otherwise(MARK).alias("deathYear"),
+        F.when(F.col("c_acctbal") < 0, _str(F.lit(2000) + F.col("c_nationkey"))).otherwise(_mark()).alias("deathYear"),
     )
     return s.unionByName(c)
 
@@ -129,14 +132,14 @@ def bronze_title_crew(spark: SparkSession, sf_dir: str) -> DataFrame:
     w = writer_lists(spark, sf_dir)
     cust = _str(F.col("o_custkey"))
     directors = (
-        F.when(F.col("o_orderstatus") == "P", MARK)
+        F.when(F.col("o_orderstatus") == "P", _mark())
         .when(F.col("o_orderpriority") == "1-URGENT", F.concat(F.lit("nc"), cust, F.lit(",nx"), cust))
         .otherwise(F.concat(F.lit("nc"), cust))
     )
     return o.join(w, o.o_orderkey == w.l_orderkey, "left").select(
         _id("tt", "o_orderkey").alias("tconst"),
         directors.alias("directors"),
-        F.coalesce(F.col("writers"), MARK).alias("writers"),
+        F.coalesce(F.col("writers"), _mark()).alias("writers"),
     )
 
 
@@ -150,7 +153,7 @@ def bronze_title_akas(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("title"),
         F.when(F.col("l_linenumber") == 1, F.lit("1"))
         .when(F.col("l_linestatus") == "O", F.lit("0"))
-        .otherwise(MARK)
+        .otherwise(_mark())
         .alias("isOriginalTitle"),
     )
 
@@ -160,7 +163,7 @@ def bronze_title_episode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(
         F.concat(_id("tt", "l_orderkey"), F.lit("-"), _str(F.col("l_linenumber"))).alias("tconst"),
         _id("tt", "l_orderkey").alias("parentTconst"),
-        F.when(F.col("l_returnflag") == "N", MARK).otherwise(_str(F.col("l_linenumber"))).alias("seasonNumber"),
+        F.when(F.col("l_returnflag") == "N", _mark()).otherwise(_str(F.col("l_linenumber"))).alias("seasonNumber"),
         _str(F.floor("l_quantity")).alias("episodeNumber"),
     )
 

@@ -1,8 +1,8 @@
 """Table sinks: parquet snapshots with a keyed upsert, and JSON export.
 
 Parquet cannot overwrite a table it is reading, and has no MERGE.  A table
-is therefore a directory of snapshots ``<root>/v=<n>/``; an upsert reads the
-newest snapshot, merges, and writes ``v=<n+1>``.  Readers take the newest
+is therefore a directory of snapshots ``<root>/tf_snapshot=<n>/``; an upsert reads the
+newest snapshot, merges, and writes ``tf_snapshot=<n+1>``.  Readers take the newest
 committed snapshot by partition pruning.  A failed write leaves no data
 files (the output committer publishes at job commit), so it is invisible.
 """
@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from titleflow.operators.upsert import merge_frames
 
-VERSION = "v"
+VERSION = "tf_snapshot"  # partition column of snapshot folders
 _V = re.compile(rf"/{VERSION}=(\d+)/")
 
 
