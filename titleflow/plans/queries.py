@@ -200,11 +200,16 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ model
-def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _features(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
+    """The model's feature frame, materialised once in the shared checkpoint
+    folder: training, held-out scoring and request building all read it."""
     from titleflow.operators.model import feature_frame
 
     idx, stats, gavg = _lookups(spark, sf_dir)
-    return feature_frame(gold(spark, sf_dir), idx, stats, gavg.scalar())
+    # Gold is materialised first: the feature frame reads it twice (rows and
+    # the year statistics).
+    g = gold(spark, sf_dir).checkpoint(eager=True) if g is None else g
+    return feature_frame(g, idx, stats, gavg.scalar()).checkpoint(eager=True)
 
 
 @register("train_test_split")
@@ -297,10 +302,14 @@ def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.operators.model import fit_model, train_test_split
     from titleflow.operators.scenario import score_requests
 
+    from titleflow.plans.fixtures import scoring_requests
+
     idx, stats, gavg = _lookups(spark, sf_dir)
-    train, _ = train_test_split(_features(spark, sf_dir))
+    stats = stats.checkpoint(eager=True)
+    g = gold(spark, sf_dir).checkpoint(eager=True)
+    train, _ = train_test_split(_features(spark, sf_dir, g))
     model = fit_model(train)
-    return score_requests(model, _requests(spark, sf_dir), idx, stats, gavg.scalar())
+    return score_requests(model, scoring_requests(g), idx, stats, gavg.scalar())
 
 
 # ------------------------------------------------------------------ sources and sinks
@@ -338,11 +347,10 @@ def q_derive_table_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.plans.domain import bronze
     from titleflow.plans.fixtures import EXTRACTS
     from titleflow.session import shared_path
-    from titleflow.sources.landing import read_tsv, table_name, write_landing
+    from titleflow.sources.landing import read_tsv, table_name, write_landing_many
 
     root = shared_path(spark, "landing")
-    for landed, tbl in EXTRACTS.items():
-        write_landing(bronze(spark, sf_dir, tbl), root, landed, LOAD_DATE)
+    write_landing_many({landed: bronze(spark, sf_dir, tbl) for landed, tbl in EXTRACTS.items()}, root, LOAD_DATE)
     files = read_tsv(spark, root, recursiveFileLookup="true")
     return files.groupBy(table_name().alias("table_name")).agg(F.count(F.lit(1)).alias("row_count"))
 

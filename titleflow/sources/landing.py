@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titleflow.sources.readers import spread
+
 # Quoting is switched off: the extracts never quote, and a title that starts
 # with an unclosed quote would otherwise swallow the following columns.
 TSV_READ = {"header": "true", "sep": "\t", "quote": "", "mode": "PERMISSIVE"}
@@ -32,7 +35,10 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType |
 
 
 def write_tsv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    w = df.write.mode(mode).options(**TSV_WRITE)
+    """Gzip TSV.  Gzip files cannot be split on read, so the output is
+    spread over at least one file per core (a no-op for large inputs,
+    which already arrive in many partitions)."""
+    w = spread(df).write.mode(mode).options(**TSV_WRITE)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.csv(path)
@@ -60,6 +66,33 @@ def write_landing(df: DataFrame, root: str, name: str, load_date: str | dt.date
     return path
 
 
+def write_landing_many(frames: dict[str, DataFrame], root: str, load_date: str | dt.date | None = None, parallel: int = 4) -> list[str]:
+    """Land several independent extracts.  Each write is its own Spark job;
+    they are submitted from a few driver threads so small extracts share
+    the cluster instead of queueing one after another.  The partition
+    overwrite mode is set once for all of them."""
+    if not frames:
+        return []
+    spark = next(iter(frames.values())).sparkSession
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    day = load_date.isoformat() if isinstance(load_date, dt.date) else (load_date or dt.date.today().isoformat())
+
+    def one(item: tuple[str, DataFrame]) -> str:
+        name, df = item
+        if PARTITION not in df.columns:
+            df = df.withColumn(PARTITION, F.lit(day))
+        path = landing_path(root, name)
+        write_tsv(df, path, partition_by=PARTITION)
+        return path
+
+    try:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            return list(pool.map(one, frames.items()))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+
+
 def load_dates(spark: SparkSession, root: str) -> list[str]:
     """Distinct load dates present under ``root``, newest first.  Uses the
     file listing only (``inputFiles``), never the file contents."""

@@ -1,0 +1,33 @@
+"""Table readers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Session setting: the fewest scan partitions a table read should yield
+# (default: the session's parallelism).  0 disables spreading.
+MIN_SCAN_PARTITIONS = "titleflow.minScanPartitions"
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread input that arrives as fewer splits than there are cores,
+    ahead of CPU-heavy per-row work (tokenizing whole texts).
+
+    A parquet file is split by row groups; a small table written as one
+    row group is read by one task, and the regex work after the scan would
+    run on one core.  A round-robin repartition spreads it.  Large inputs
+    already come in many splits, so this is a no-op at scale.  Cheap
+    per-row work is not worth the extra exchange, so only the text
+    operators call this.
+    """
+    spark = df.sparkSession
+    if min_partitions is None:
+        conf = spark.conf.get(MIN_SCAN_PARTITIONS, None)
+        min_partitions = int(conf) if conf is not None else spark.sparkContext.defaultParallelism
+    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+        return df.repartition(min_partitions)
+    return df
+
+
+def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
+    return spread(spark.read.parquet(path), min_partitions)
