@@ -57,3 +57,38 @@ def test_snapshots(spark, scratch):
     assert _rows(read_table(spark, root)) == [("a", 2), ("b", 3)]
     assert _rows(read_table(spark, root, 0)) == [("a", 1)]
     assert create_or_merge(spark, spark.createDataFrame([], SCHEMA), root) == 1
+
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+_keys = st.one_of(st.none(), st.sampled_from(["a", "b", "c", "d"]))
+_row_lists = st.lists(st.tuples(_keys, st.integers(0, 9)), max_size=8)
+
+
+def _model(target, source):
+    """MERGE by hand: each target row takes the (unique) matching source
+    row's values; unmatched source rows are appended."""
+    src = {}
+    for k, v in source:
+        if k is not None:
+            src.setdefault(k, []).append((k, v))
+    tkeys = {k for k, _ in target if k is not None}
+    if any(len(v) > 1 and k in tkeys for k, v in src.items()):
+        return None
+    out = [src[k][0] if k in src else (k, v) for k, v in target]
+    out += [(k, v) for k, v in source if k is None or k not in tkeys]
+    return sorted(out, key=lambda t: (t[0] is None, t))
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(_row_lists, _row_lists)
+def test_merge_matches_model(spark, target, source):
+    expect = _model(target, source)
+    t = spark.createDataFrame(target, SCHEMA)
+    s = spark.createDataFrame(source, SCHEMA)
+    if expect is None:
+        with pytest.raises(DuplicateSourceKeyError):
+            merge_frames(t, s, ["k"])
+    else:
+        assert _rows(merge_frames(t, s, ["k"])) == expect

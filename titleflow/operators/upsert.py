@@ -1,16 +1,23 @@
 """Keyed upsert (MERGE: matched -> update all columns, unmatched -> insert).
 
-Parquet has no MERGE, so the merged table is computed as ONE full outer
-join on the key: a row takes the source's values when the source side is
-present, otherwise keeps the target's.  That is one shuffle of each side on
-the key (none if both are already bucketed on it), and it keeps MERGE
-semantics exactly:
+Parquet has no MERGE, so the merged table is computed as two joins whose
+results are appended:
 
-* several target rows with one key are each updated;
-* NULL keys never match: NULL-key target rows are kept, NULL-key source
-  rows are inserted;
-* a key repeated in the source that matches the target is an error, as in
-  MERGE; repeats that match nothing are all inserted.
+* ``target LEFT JOIN source`` on the key: a target row takes the source's
+  values when matched, otherwise keeps its own (updated + untouched rows);
+* ``source LEFT ANTI JOIN distinct(target keys)``: source rows matching no
+  target row (inserted rows).
+
+That keeps MERGE semantics exactly: several target rows with one key are
+each updated; NULL keys never match (NULL-key target rows are kept, NULL-key
+source rows inserted); a key repeated in the source that matches the target
+is an error, as in MERGE; repeats that match nothing are all inserted.
+
+Why not one full outer join: Spark's adaptive skew handling does not split
+full outer joins, and a key may hold a large share of the target (a table
+keyed on a column that repeats).  The left join's streamed side is the
+target, which AQE splits when one key is hot; the anti join only needs the
+target's distinct keys, which a partial aggregate collapses map-side.
 """
 
 from __future__ import annotations
@@ -33,7 +40,7 @@ def check_source_keys(target: DataFrame, source: DataFrame, keys: Sequence[str])
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") > 1)
-        .join(target.select(*keys), keys, "left_semi")
+        .join(target.select(*keys).distinct(), keys, "left_semi")
     )
     found = dup.limit(3).collect()
     if found:
@@ -59,6 +66,9 @@ def merge_frames(target: DataFrame, source: DataFrame, keys: Sequence[str], chec
     for k in keys:
         term = F.col(f"t_{k}") == F.col(f"s_{k}")
         cond = term if cond is None else cond & term
-    joined = t.join(s, cond, "full_outer")
     hit = F.col("_src").isNotNull()
-    return joined.select(*[F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in target.columns])
+    kept_or_updated = t.join(s, cond, "left").select(
+        *[F.when(hit, F.col(f"s_{c}")).otherwise(F.col(f"t_{c}")).alias(c) for c in target.columns]
+    )
+    inserted = source.select(*target.columns).join(target.select(*keys).distinct(), keys, "left_anti")
+    return kept_or_updated.unionByName(inserted)
