@@ -66,3 +66,32 @@ def test_landing_to_bronze_to_silver(spark, scratch):
     status = {r.table: r.status for r in rep.collect()}
     assert status == {"title_ratings": "ok", "title_basics": "failed"}  # one failure does not stop the rest
     assert sorted(r.tconst for r in spark.read.parquet(f"{silver}/title_ratings").collect()) == ["tt1", "tt3"]
+
+
+def test_catalog_publish_moves_with_snapshots(spark, scratch):
+    from titleflow.sources.catalog import publish
+    from titleflow.sources.tables import create_or_merge
+
+    root = f"{scratch}/title_ratings"
+    schema = "tconst string, averageRating string"
+    create_or_merge(spark, spark.createDataFrame([("tt1", "7.0")], schema), root)
+    publish(spark, "tf_bronze_test.title_ratings", root)
+    assert [tuple(r) for r in spark.table("tf_bronze_test.title_ratings").collect()] == [("tt1", "7.0")]
+    create_or_merge(spark, spark.createDataFrame([("tt1", "8.0"), ("tt2", "5.0")], schema), root)
+    publish(spark, "tf_bronze_test.title_ratings", root)
+    got = sorted(tuple(r) for r in spark.table("tf_bronze_test.title_ratings").collect())
+    assert got == [("tt1", "8.0"), ("tt2", "5.0")]
+    assert spark.catalog.tableExists("tf_bronze_test.title_ratings")
+
+
+def test_silver_to_gold_job(spark, scratch):
+    from titleflow.plans.domain import silver
+    from titleflow.plans.medallion import silver_to_gold
+
+    sf = "/root/testdata/sf0.001"
+    for t in ("title_basics", "title_ratings", "title_principals", "title_crew", "name_basics"):
+        silver(spark, sf, t).write.mode("overwrite").parquet(f"{scratch}/silver/{t}")
+    silver_to_gold(spark, f"{scratch}/silver", silver(spark, sf, "title_plots"), f"{scratch}/gold")
+    gold = spark.read.parquet(f"{scratch}/gold")
+    assert gold.count() == silver(spark, sf, "title_plots").count()
+    assert gold.columns == ["tconst", "title", "plot", "year", "genres", "averageRating", "directors", "writers", "actors"]
