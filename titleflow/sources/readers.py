@@ -10,21 +10,21 @@ MIN_SCAN_PARTITIONS = "titleflow.minScanPartitions"
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread input that arrives as fewer splits than there are cores,
-    ahead of CPU-heavy per-row work (tokenizing whole texts).
-
-    A parquet file is split by row groups; a small table written as one
-    row group is read by one task, and the regex work after the scan would
-    run on one core.  A round-robin repartition spreads it.  Large inputs
-    already come in many splits, so this is a no-op at scale.  Cheap
-    per-row work is not worth the extra exchange, so only the text
-    operators call this.
+    """Spread input that comes from fewer files than there are cores, ahead
+    of CPU-heavy per-row work (tokenizing whole texts, gzip writes).
+
+    A parquet file is split by row groups and a gzip file not at all, so a
+    small table stored as one file or one row group is read by one task and
+    the heavy work after the scan would run on one core.  A round-robin
+    repartition spreads it.  The decision uses the file listing only
+    (``inputFiles``), which plans nothing and runs nothing; large inputs come
+    from many files, so this is a no-op at scale.
     """
     spark = df.sparkSession
     if min_partitions is None:
         conf = spark.conf.get(MIN_SCAN_PARTITIONS, None)
         min_partitions = int(conf) if conf is not None else spark.sparkContext.defaultParallelism
-    if min_partitions and df.rdd.getNumPartitions() < min_partitions:
+    if min_partitions and len(df.inputFiles()) < min_partitions:
         return df.repartition(min_partitions)
     return df
 
