@@ -97,25 +97,23 @@ def assemble_gold(
     semi join; AQE turns it into a broadcast when the plot keys are small at
     run time), so the people join and aggregation only touch sampled titles.
     """
-    keys = plots.select("tconst")
+    keys = plots.select("tconst").distinct()
     long = people_long(principals, crew).join(keys, "tconst", "left_semi")
     lists = people_lists(name_people(long, names))
-    p = plots.select("tconst", "plot")
     b = basics.select("tconst", "primaryTitle", "startYear", "genres")
     r = ratings.select("tconst", "averageRating")
-    return (
-        p.join(b, "tconst")
-        .join(r, "tconst", "left")
-        .join(lists, "tconst", "left")
-        .select(
-            "tconst",
-            F.col("primaryTitle").alias("title"),
-            "plot",
-            F.col("startYear").alias("year"),
-            "genres",
-            "averageRating",
-            "directors",
-            "writers",
-            "actors",
-        )
+    # Everything but the plot text is assembled first (narrow rows keyed by
+    # tconst); the text joins once, at the end, so it is not carried through
+    # every shuffle (AQE broadcasts the narrow side when it is small).
+    core = keys.join(b, "tconst").join(r, "tconst", "left").join(lists, "tconst", "left")
+    return plots.select("tconst", "plot").join(core, "tconst").select(
+        "tconst",
+        F.col("primaryTitle").alias("title"),
+        "plot",
+        F.col("startYear").alias("year"),
+        "genres",
+        "averageRating",
+        "directors",
+        "writers",
+        "actors",
     )
