@@ -24,9 +24,13 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if min_partitions is None:
         conf = spark.conf.get(MIN_SCAN_PARTITIONS, None)
         min_partitions = int(conf) if conf is not None else spark.sparkContext.defaultParallelism
-    if min_partitions and len(df.inputFiles()) < min_partitions:
-        return df.repartition(min_partitions)
-    return df
+    if not min_partitions:
+        return df
+    files = df.inputFiles()
+    # Frames without files (checkpointed or in-memory data) report their
+    # partition count directly; it is cheap for such plans.
+    splits = len(files) if files else df.rdd.getNumPartitions()
+    return df.repartition(min_partitions) if splits < min_partitions else df
 
 
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
