@@ -584,7 +584,7 @@ global_avg g
 cte(
     "req_combos",
     """
-SELECT a.request_id, a.pos AS a_pos, d.pos AS d_pos, w.pos AS w_pos,
+SELECT a.request_id, CAST(a.pos AS INTEGER) AS a_pos, CAST(d.pos AS INTEGER) AS d_pos, CAST(w.pos AS INTEGER) AS w_pos,
        a.name AS actor, d.name AS director, w.name AS writer,
        a.name || ' + ' || d.name || ' + ' || w.name AS combination,
        a.mean AS am, d.mean AS dm, w.mean AS wm
@@ -614,7 +614,7 @@ query(
     f"""
 SELECT request_id, rank, combination, score FROM (
   SELECT request_id, combination, score,
-         row_number() OVER (PARTITION BY request_id ORDER BY score DESC, combination, a_pos, d_pos, w_pos) AS rank
+         CAST(row_number() OVER (PARTITION BY request_id ORDER BY score DESC, combination, a_pos, d_pos, w_pos) AS INTEGER) AS rank
   FROM (SELECT *, {r6('(am + dm + wm) / 3.0')} AS score FROM req_combos) c) r
 WHERE rank <= 3
 """,
