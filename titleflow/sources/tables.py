@@ -57,9 +57,17 @@ def create_or_merge(
         vs = versions(spark, root)
         return vs[-1] if vs else -1
     keys = list(keys) if keys else [df.columns[0]]
-    current = read_table(spark, root)
     vs = versions(spark, root)
-    nxt = version if version is not None else (vs[-1] + 1 if vs else 0)
+    if version is None:
+        nxt = vs[-1] + 1 if vs else 0
+        below = vs
+    else:
+        # An explicit number (a streaming batch id): merge onto the newest
+        # snapshot *below* it, so re-running the same batch rewrites the
+        # same snapshot from the same input.
+        nxt = version
+        below = [v for v in vs if v < version]
+    current = read_table(spark, root, below[-1]) if below else None
     out = df if current is None else merge_frames(current, df.select(*current.columns), keys)
     write_snapshot(out, root, nxt)
     return nxt

@@ -6,8 +6,8 @@ and MERGEd into the bronze table (a snapshot directory, see
 :mod:`titleflow.sources.tables`) on the table's key.  The stream's
 checkpoint (in the session's shared checkpoint folder) records which files
 were consumed, so a restart -- or a lost executor -- neither skips nor
-repeats a file; a re-run batch rewrites the same snapshot number, so the
-merge is idempotent.  ``availableNow`` processes what is there and stops,
+repeats a file; snapshot numbers are batch ids and a re-run batch rebuilds
+its snapshot from the one below it, so the merge is applied exactly once.  ``availableNow`` processes what is there and stops,
 which is how a scheduled load runs.
 """
 
@@ -40,14 +40,15 @@ def ingest_available(
     """Merge every landed file not yet ingested into ``bronze_root`` and
     stop.  Returns the newest snapshot number (-1 if none)."""
     keys = list(keys) if keys else [schema.fieldNames()[0]]
-    base = versions(spark, bronze_root)
-    start = base[-1] + 1 if base else 0
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
         rows = batch.drop(PARTITION) if PARTITION in batch.columns else batch
         rows = with_load_time(rows, load_time)
-        # One snapshot per batch id: a retried batch rewrites the same one.
-        create_or_merge(batch.sparkSession, rows, bronze_root, keys, version=start + batch_id)
+        # The snapshot number is the batch id (the stream owns the table):
+        # batch b merges onto the newest snapshot below b, so a batch that is
+        # re-run after a failure rewrites the same snapshot from the same
+        # input -- exactly once, even for NULL keys, which never match.
+        create_or_merge(batch.sparkSession, rows, bronze_root, keys, version=batch_id)
 
     query = (
         landing_stream(spark, landing, schema)
