@@ -9,7 +9,6 @@ from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType
 
 from titleflow.functions.columns import NULL_MARKER, as_list
 from titleflow.operators.assemble import people_long
@@ -163,5 +162,3 @@ def multihot_text(vec_col: str) -> Column:
     """A multi-hot vector as ``0|1|...`` text (for comparisons)."""
     return F.array_join(F.transform(vector_to_array(F.col(vec_col)), lambda x: x.cast("int").cast("string")), "|")
 
-
-GENRES_TYPE = ArrayType(StringType())

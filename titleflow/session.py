@@ -42,12 +42,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``SparkContext.setCheckpointDir``); we only create our own folder when
     nothing is set, which happens in local tests.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote (Connect) session has no context here
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        # Only reached when the session names no shared folder (local tests).
         configured = tempfile.mkdtemp(prefix="titleflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

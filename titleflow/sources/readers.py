@@ -23,15 +23,28 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     spark = df.sparkSession
     if min_partitions is None:
         conf = spark.conf.get(MIN_SCAN_PARTITIONS, None)
-        min_partitions = int(conf) if conf is not None else spark.sparkContext.defaultParallelism
+        min_partitions = int(conf) if conf is not None else _parallelism(spark)
     if not min_partitions:
         return df
     files = df.inputFiles()
-    # Frames without files (checkpointed or in-memory data) report their
-    # partition count directly; it is cheap for such plans.
-    splits = len(files) if files else df.rdd.getNumPartitions()
+    if files:
+        splits = len(files)
+    else:
+        # Frames without files (checkpointed or in-memory data) report their
+        # partition count directly; it is cheap for such plans.
+        try:
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view (remote session)
+            return df
     return df.repartition(min_partitions) if splits < min_partitions else df
 
 
+def _parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - remote session
+        return int(spark.conf.get("spark.default.parallelism", "0") or 0)
+
+
 def read_parquet(spark: SparkSession, path: str, min_partitions: int | None = None) -> DataFrame:
     return spread(spark.read.parquet(path), min_partitions)
