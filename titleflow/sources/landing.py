@@ -96,7 +96,7 @@ def write_landing_many(frames: dict[str, DataFrame], root: str, load_date: str |
 def load_dates(spark: SparkSession, root: str) -> list[str]:
     """Distinct load dates present under ``root``, newest first.  Uses the
     file listing only (``inputFiles``), never the file contents."""
-    files = spark.read.format("text").load(f"{root.rstrip('/')}/*.tsv").inputFiles()
+    files = spark.read.format("text").option("recursiveFileLookup", "true").load(root).inputFiles()
     return sorted({m.group(1) for f in files if (m := _DATE_DIR.search(f))}, reverse=True)
 
 

@@ -25,7 +25,8 @@ _V = re.compile(rf"/{VERSION}=(\d+)/")
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed snapshot numbers under ``root`` (from the file listing)."""
     try:
-        files = spark.read.format("parquet").load(f"{root.rstrip('/')}/{VERSION}=*").inputFiles()
+        # A plain recursive listing: no glob, no footer reads.
+        files = spark.read.format("text").option("recursiveFileLookup", "true").load(root).inputFiles()
     except Exception as e:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return []
