@@ -13,9 +13,9 @@ TYPES = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "double": "D
 
 
 def _norm(v):
-    if isinstance(v, float):
-        return "nan" if math.isnan(v) else round(v, 6)
-    return v
+    if isinstance(v, float) and math.isnan(v):
+        return "nan"
+    return v  # values compare exactly, as the driver's hash does
 
 
 def _key(row):
