@@ -99,3 +99,50 @@ def silver_to_gold(spark: SparkSession, silver_root: str, plots: DataFrame, gold
     s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
     gold = assemble_gold(plots, s("title_basics"), s("title_ratings"), s("title_principals"), s("title_crew"), s("name_basics"))
     gold.write.mode("overwrite").parquet(gold_path)
+
+
+def gold_to_model(
+    spark: SparkSession,
+    gold: DataFrame,
+    silver_root: str,
+    model_path: str,
+    cfg=None,
+) -> DataFrame:
+    """Fit the rating model on the training part of ``gold``, save it, and
+    return the held-out metrics (one row).
+
+    The person lookups are built from the *training* titles only, so no
+    held-out label reaches a feature.
+    """
+    from titleflow.operators import features as Fe
+    from titleflow.operators.model import TrainConfig, feature_frame, fit_model, labelled, predict, regression_metrics, split_flag
+
+    cfg = cfg or TrainConfig()
+    s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
+    gold = gold.checkpoint(eager=True)
+    train_keys = gold.filter(~split_flag("tconst")).select("tconst")
+    stats = Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys)
+    fill = Fe.global_avg(s("title_ratings"), titles=train_keys).scalar()
+    feats = feature_frame(gold, Fe.name_index(s("name_basics")), stats, fill).checkpoint(eager=True)
+    model = fit_model(feats.filter(~split_flag("tconst")), cfg)
+    model.write().overwrite().save(model_path)
+    held_out = labelled(feats.filter(split_flag("tconst")))
+    return regression_metrics(predict(model, held_out, keep=("tconst", "averageRating")))
+
+
+def score_batch(spark: SparkSession, model_path: str, requests: DataFrame, gold: DataFrame, silver_root: str) -> DataFrame:
+    """Score a batch of requests with a saved model: (request_id,
+    predictions).  Lookups are rebuilt from the training titles of ``gold``,
+    as at fit time."""
+    from pyspark.ml import PipelineModel
+
+    from titleflow.operators import features as Fe
+    from titleflow.operators.model import split_flag
+    from titleflow.operators.scenario import score_requests
+
+    s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
+    train_keys = gold.filter(~split_flag("tconst")).select("tconst")
+    stats = Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys)
+    fill = Fe.global_avg(s("title_ratings"), titles=train_keys).scalar()
+    model = PipelineModel.load(model_path)
+    return score_requests(model, requests, Fe.name_index(s("name_basics")), stats, fill)
