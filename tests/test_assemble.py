@@ -1,4 +1,3 @@
-from pyspark.sql import Row
 
 from titleflow.operators.assemble import actor_lists, assemble_gold, crew_lists
 

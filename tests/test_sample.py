@@ -1,7 +1,5 @@
 import hashlib
-import math
 
-from pyspark.sql import functions as F
 
 from titleflow.functions.columns import rating_band
 from titleflow.operators.sample import rating_histogram, stratified_sample
