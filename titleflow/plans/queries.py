@@ -200,12 +200,12 @@ def q_tfidf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ model
-def _features(spark: SparkSession, sf_dir: str, g: DataFrame | None = None) -> DataFrame:
+def _features(spark: SparkSession, sf_dir: str, g: DataFrame | None = None, lookups=None) -> DataFrame:
     """The model's feature frame, materialised once in the shared checkpoint
     folder: training, held-out scoring and request building all read it."""
     from titleflow.operators.model import feature_frame
 
-    idx, stats, gavg = _lookups(spark, sf_dir)
+    idx, stats, gavg = _lookups(spark, sf_dir) if lookups is None else lookups
     # Gold is materialised first: the feature frame reads it twice (rows and
     # the year statistics).
     g = gold(spark, sf_dir).checkpoint(eager=True) if g is None else g
@@ -307,7 +307,7 @@ def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     idx, stats, gavg = _lookups(spark, sf_dir)
     stats = stats.checkpoint(eager=True)
     g = gold(spark, sf_dir).checkpoint(eager=True)
-    train, _ = train_test_split(_features(spark, sf_dir, g))
+    train, _ = train_test_split(_features(spark, sf_dir, g, (idx, stats, gavg)))
     model = fit_model(train)
     return score_requests(model, scoring_requests(g), idx, stats, gavg.scalar())
 
