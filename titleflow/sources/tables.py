@@ -9,6 +9,7 @@ files (the output committer publishes at job commit), so it is invisible.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 
@@ -24,6 +25,12 @@ _V = re.compile(rf"/{VERSION}=(\d+)/")
 
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed snapshot numbers under ``root`` (from the file listing)."""
+    if "://" not in root or root.startswith("file:"):
+        # A local path that does not exist yet has no snapshots (and Spark
+        # would log a warning while finding that out).
+        local = root[len("file:"):] if root.startswith("file:") else root
+        if not os.path.exists(local):
+            return []
     try:
         # A plain recursive listing: no glob, no footer reads.
         files = spark.read.format("text").option("recursiveFileLookup", "true").load(root).inputFiles()
