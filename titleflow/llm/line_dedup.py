@@ -125,12 +125,15 @@ def dedup_lines(
     runs = LineRuns(spark, min_docs, fanout)
     for b in range(n_batches):
         runs.add(keys.where(F.col("batch") == b).select("key"))
-    frequent = runs.frequent()
-    dropped = (
+    # Both small sides are written first: a join of plain exchanges can be split
+    # where a hot line, or a text with very many copies, fills a partition.
+    frequent = materialise(runs.frequent(), "frequent-lines")
+    dropped = materialise(
         keys.join(frequent, "key", "left_semi")
         .groupBy("text_id")
         .agg(F.collect_set("key").alias("_drop"))
-        .withColumnRenamed("text_id", "_tid")
+        .withColumnRenamed("text_id", "_tid"),
+        "dropped-lines",
     )
     columns = docs.columns
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))

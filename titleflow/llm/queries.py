@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, line_dedup, quality_rules
+from titleflow.llm import bpe, line_dedup, quality_rules, secrets, url_filter
 from titleflow.llm.common import table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,32 @@ def sha256(column: str):
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+#: Fixed values: (verdict, host, path) of the URL list.
+URL_LIST = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page takes the label of the document of its id; ``toxic`` ones teach ``block``."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    labels = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), (F.col("toxic") == 1).alias("block"))
+    labelled = pages.join(labels, "page_id").select("url", "block")
+    return url_filter.judge(pages, labelled, URL_LIST).select("page_id", "host", "path", "rule", "verdict", "mined_items", "mined_confidence")
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The owner is the source; a repository is a source's documents of one language."""
+    found = secrets.find(table(spark, sf_dir, "documents"), ["doc_id"], owner=["source"], repo=["source", "lang"])
+    counts = [secrets.count_kind("base", kind).alias(f"n_{kind}") for kind, *_ in secrets.KINDS]
+    base = F.sha2(secrets.rendered("base").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secrets.rendered("all").alias("spans"), "n_live", "n_example")
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode_decode(table(spark, sf_dir, "documents"), BPE_FILE, ["doc_id"])
     return done.select(
@@ -44,6 +70,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filter": op1_url_filter,
+    "op2_secrets": op2_secrets,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op10_line_dedup": op10_line_dedup,
