@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, line_dedup, quality_rules, secrets, url_filter
+from titleflow.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, url_filter
 from titleflow.llm.common import table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,15 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secrets.rendered("all").alias("spans"), "n_live", "n_example")
 
 
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that cover a benchmark item, one row per (document, item)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", F.explode("_leaks").alias("l")).select(
+        "doc_id", "l.*", (F.col("l.n_covered") / F.col("l.n_item_words")).alias("coverage")
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.encode_decode(table(spark, sf_dir, "documents"), BPE_FILE, ["doc_id"])
     return done.select(
@@ -72,6 +81,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
+    "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op10_line_dedup": op10_line_dedup,
