@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, url_filter
+from titleflow.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, simhash, url_filter
 from titleflow.llm.common import table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +71,12 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = simhash.near_duplicates(docs, width=4, max_bits=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, min_docs=10).select(
@@ -84,5 +90,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op7_simhash": op7_simhash,
     "op10_line_dedup": op10_line_dedup,
 }
