@@ -42,8 +42,9 @@ from titleflow.llm.graph import components
 
 SEED = 42
 HALF = 32
-#: Fingerprints of one block, or chunk of a block.
-BLOCK = 1 << 13
+#: Fingerprints of one block, or chunk of a block, and the least levels cut (so that few fingerprints still spread over cores).
+BLOCK = 1 << 15
+MIN_LEVELS = 3
 #: Node pairs walked at once, and the size at which two nodes are compared leaf by leaf.
 WALK, LEAF = 1 << 19, 32
 
@@ -212,7 +213,7 @@ def block_links(home: np.ndarray, probe: np.ndarray, self_join: bool, half: int,
 def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
     """Edges (a, b) that connect all of ``distinct`` (fp) within ``max_bits``."""
     count = distinct.count()
-    levels = min(HALF, max(0, math.ceil(math.log2(max(count, 1) / block))))
+    levels = min(HALF, max(MIN_LEVELS, math.ceil(math.log2(max(count, 1) / block))))
     tries = budgets(max_bits)
     rotated = F.when(F.col("trie") == 0, F.col("fp")).otherwise(F.call_function("shiftleft", F.col("fp"), F.lit(HALF)).bitwiseOR(F.shiftrightunsigned("fp", HALF)))
     own = F.shiftrightunsigned(F.shiftrightunsigned("key", 32), 32 - levels)
