@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, decontaminate, line_dedup, quality_rules, secrets, simhash, url_filter
-from titleflow.llm.common import table
+from titleflow.llm import bpe, decontaminate, line_dedup, lm, quality_rules, secrets, simhash, url_filter
+from titleflow.llm.common import remainder, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -77,6 +77,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Remainder 1 is never trained on; of the rest, remainder 2 teaches the weights."""
+    rest = remainder("doc_id", 5)
+    part = F.when(rest == 1, lm.TEST).when(rest == 2, lm.HELD).otherwise(lm.KEPT)
+    scored = lm.score(table(spark, sf_dir, "documents"), part)
+    held_out = (F.col("part") == lm.TEST).alias("held_out")
+    return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, min_docs=10).select(
@@ -91,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
     "op7_simhash": op7_simhash,
+    "op8_lm": op8_lm,
     "op10_line_dedup": op10_line_dedup,
 }
