@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, decontaminate, line_dedup, lm, quality_rules, secrets, simhash, url_filter
+from titleflow.llm import bpe, decontaminate, html_extract, line_dedup, lm, quality_model, quality_rules, secrets, simhash, url_filter
 from titleflow.llm.common import remainder, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +71,17 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learns from labels whose remainder is not 0; a score of 0.3 or more predicts 1."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
+    model = quality_model.train(docs.join(labels, "doc_id").select("text", "label"))
+    scored = quality_model.score(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = simhash.near_duplicates(docs, width=4, max_bits=4)
@@ -86,6 +97,12 @@ def op8_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = html_extract.extract(pages, html_extract.train(pages), ["page_id", "url"])
+    return found.select("page_id", "url", F.col("main_text").alias("text"), F.char_length("main_text").cast("bigint").alias("n_chars"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return line_dedup.dedup_lines(docs, min_docs=10).select(
@@ -99,7 +116,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontaminate": op3_decontaminate,
     "op4_bpe": op4_bpe,
     "op5_quality_rules": op5_quality_rules,
+    "op6_quality_model": op6_quality_model,
     "op7_simhash": op7_simhash,
     "op8_lm": op8_lm,
+    "op9_html_extract": op9_html_extract,
     "op10_line_dedup": op10_line_dedup,
 }
