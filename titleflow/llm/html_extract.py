@@ -205,11 +205,11 @@ class Potentials:
 
 #: Edge potentials of tags never seen in training, by parent label: parts keep their label, boilerplate nearly always.
 DEFAULT_EDGE: tuple[Triple, Triple, Triple] = ((0.6, 0.2, 0.2), (0.01, 0.9, 0.09), (0.005, 0.005, 0.99))
-NAMED_OUT: Triple = (1e-4, 1e-4, 1.0)
+NAMED_OUT: Triple = (1e-7, 1e-7, 1.0)
 NAMED_IN: Triple = (0.2, 1.0, 0.05)
 NEVER = 1e-30
 #: The features of a page's nodes say much the same; each counts as this share of an independent one.
-TEMPER = 0.5
+TEMPER = 0.3
 
 
 def _scaled(x: list[float]) -> list[float]:

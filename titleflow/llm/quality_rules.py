@@ -171,26 +171,51 @@ def fences(sketches: DataFrame, group: list[str], min_group: int = MIN_GROUP) ->
     return wide.groupBy(*group).agg(*picks)
 
 
-def apply_rules(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", keep: list[str] | None = None) -> DataFrame:
-    """Columns ``keep`` (default: all of ``docs`` but the text), ``STATS``, ``base_failed``, ``kept``.
-
-    The texts are read once; the counts are written to the shared folder and
-    serve both the sketches and the verdicts.
-    """
-    keep = [c for c in docs.columns if c != text] if keep is None else keep
-    renamed = docs.select(
+def _renamed(docs: DataFrame, keep: list[str], text: str, lang: str, source: str) -> DataFrame:
+    """The columns needed, under names of their own, so that no extra column can clash."""
+    return docs.select(
         *[F.col(c).alias(f"k_{c}") for c in keep], F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), F.col(text).alias("t")
     )
-    stats = materialise(with_features(text_stats(renamed, [c for c in renamed.columns if c != "t"], "t")), "quality-stats")
-    limits = fences(sketch(stats, ["g_lang", "g_source"], list(FEATURES)), ["g_lang", "g_source"])
+
+
+def _stats(renamed: DataFrame) -> DataFrame:
+    return with_features(text_stats(renamed, [c for c in renamed.columns if c != "t"], "t"))
+
+
+def _judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
+    """``stats`` with ``base_failed`` and ``kept``, by the fences of each row's group."""
     limits = limits.withColumnsRenamed({"g_lang": "l_lang", "g_source": "l_source"})
-    judged = stats.join(limits, F.col("g_lang").eqNullSafe(F.col("l_lang")) & F.col("g_source").eqNullSafe(F.col("l_source")), "left")
+    joined = stats.join(limits, F.col("g_lang").eqNullSafe(F.col("l_lang")) & F.col("g_source").eqNullSafe(F.col("l_source")), "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
     outlier = F.lit(False)
     for f, (_, low) in FEATURES.items():
         outlier = outlier | (F.col(f) > F.col(f"{f}_hi"))
         if low:
             outlier = outlier | (F.col(f) < F.col(f"{f}_lo"))
-    return judged.select(
-        *[F.col(f"k_{c}").alias(c) for c in keep], *STATS, base_failed.alias("base_failed"), (~base_failed & ~outlier).alias("kept")
-    )
+    return joined.withColumn("base_failed", base_failed).withColumn("kept", ~base_failed & ~outlier)
+
+
+GROUP = ["g_lang", "g_source"]
+
+
+def apply_rules(docs: DataFrame, keep: list[str], text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """Columns ``keep``, ``STATS``, ``base_failed``, ``kept``.
+
+    The texts are read once; the counts are written to the shared folder and
+    serve both the sketches and the verdicts.
+    """
+    stats = materialise(_stats(_renamed(docs, keep, text, lang, source)), "quality-stats")
+    judged = _judge(stats, fences(sketch(stats, GROUP, list(FEATURES)), GROUP))
+    return judged.select(*[F.col(f"k_{c}").alias(c) for c in keep], *STATS, "base_failed", "kept")
+
+
+def filter_docs(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, all columns.
+
+    Reads the texts twice (for the fences, then for the verdicts) so that no
+    text is written or shuffled on the way.
+    """
+    learned = _stats(_renamed(docs, [], text, lang, source))
+    limits = materialise(fences(sketch(learned, GROUP, list(FEATURES)), GROUP), "quality-fences")
+    judged = _judge(_stats(_renamed(docs, docs.columns, text, lang, source)), limits)
+    return judged.where("kept").select(*[F.col(f"k_{c}").alias(c) for c in docs.columns])

@@ -263,7 +263,7 @@ def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFra
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
-    """One row per document: ``doc_id``, ``fp``, ``text_id`` (md5 of the text) and ``component_id``, the smallest id reachable."""
+    """One row per document: ``doc_id``, ``fp``, ``text_id`` (md5 of the text), ``label`` (of the component) and ``component_id``, the smallest id reachable."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_id"), F.col(text).alias("t"))
     marked = materialise(fingerprints(source, ["doc_id", "text_id"], "t", width), "fingerprints")
     distinct = materialise(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
@@ -272,5 +272,18 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         distinct.join(joined, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("label", "fp").alias("label")), "labelled-fingerprints"
     )
     first = materialise(named.groupBy("label").agg(F.min("least").alias("component_id")), "component-ids")
-    classes = materialise(named.join(first, "label").select("fp", "component_id"), "fingerprint-components")
-    return marked.join(classes, "fp").select("doc_id", "fp", "text_id", "component_id")
+    classes = materialise(named.join(first, "label").select("fp", "label", "component_id"), "fingerprint-components")
+    return marked.join(classes, "fp").select("doc_id", "fp", "text_id", "label", "component_id")
+
+
+def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
+    """The rows of ``docs`` but one per component: that of the smallest id (nulls last), then the smallest text hash.
+
+    Of rows with the same id and text exactly one stays.
+    """
+    found = near_duplicates(docs, doc_id, text, width, max_bits)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"))).alias("first")
+    winners = materialise(found.groupBy("label").agg(first).select("first._id", "first._text_id"), "kept-documents")
+    own = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
+    stay = docs.withColumn("_own", own).join(winners, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_text_id")), "left_semi")
+    return stay.dropDuplicates([doc_id, "_own"]).drop("_own")
