@@ -23,6 +23,17 @@ SLICE_BYTES = 4 << 20
 SLICE_ROWS = 4096
 
 
+#: Arrow batches sent to Python stop at so many bytes: two tasks' batches, copies and results must fit beside an executor's heap.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches more tightly where the session leaves Spark's default (64 MB); results don't depend on it."""
+    if spark.conf.get(BATCH_SETTING).rstrip("b") == str(64 << 20):
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -71,7 +82,9 @@ def map_texts(
     task and returns the function that turns a list of texts into one list (or
     Arrow array) per field.
     """
-    source = df.select(*[F.col(c) for c in keep], F.col(text).cast("string").alias("_text"))
+    bound_batches(df.sparkSession)
+    body = text if text in keep else "_text"  # a kept text travels once
+    source = df.select(*[F.col(c) for c in keep], *([] if text in keep else [F.col(text).cast("string").alias(body)]))
     schema = T.StructType(
         [source.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(s)) for n, s, _ in fields]
     )
@@ -80,7 +93,7 @@ def map_texts(
         fn = make()
         names = [*keep, *(n for n, _, _ in fields)]
         for batch in batches:
-            for part, texts in slices(batch, "_text"):
+            for part, texts in slices(batch, body):
                 made = [v if isinstance(v, pa.Array) else pa.array(v, t) for v, (_, _, t) in zip(fn(texts), fields)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], names=names)
 

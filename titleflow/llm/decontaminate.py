@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.llm.common import slices
+from titleflow.llm.common import bound_batches, slices
 
 WORDS = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -175,6 +175,7 @@ def with_leaks(
     keep: list[str] | None = None,
 ) -> DataFrame:
     """Columns ``keep`` (default: all) and ``_leaks``: array of (item_id, n_item_words, n_covered, n_tiles, longest)."""
+    bound_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     out = docs.select(*{*keep, text}, F.array().cast(HIT.simpleString()).alias("_leaks"))
     for seeds in blocks(items, item_id, item_text, min_tile, block_words):

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.llm.common import materialise, slices
+from titleflow.llm.common import bound_batches, materialise, slices
 
 RUN_SCHEMA = "key binary, n_docs bigint"
 
@@ -121,6 +121,7 @@ def dedup_lines(
     texts share one list, and only texts that lose a line have one.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     keys = materialise(_keys_of(docs, text, min_key_chars, n_batches), "line-keys", "batch")
     runs = LineRuns(spark, min_docs, fanout)
     for b in range(n_batches):

@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titleflow.llm.common import materialise, slices
+from titleflow.llm.common import bound_batches, materialise, slices
 
 CHUNK_BYTES = 8 << 20
 #: The end token, also the context of a text's first word; it is no possible word.
@@ -260,6 +260,7 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
     learn the weights (HELD), or only scored (TEST).
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored = materialise(chunks(docs, part, doc_id, text), "lm-chunks")
     answers = materialise(_ask(stored, n).groupBy("kind", "bucket").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")

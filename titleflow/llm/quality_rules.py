@@ -174,12 +174,16 @@ def fences(sketches: DataFrame, group: list[str], min_group: int = MIN_GROUP) ->
 def _renamed(docs: DataFrame, keep: list[str], text: str, lang: str, source: str) -> DataFrame:
     """The columns needed, under names of their own, so that no extra column can clash."""
     return docs.select(
-        *[F.col(c).alias(f"k_{c}") for c in keep], F.col(lang).alias("g_lang"), F.col(source).alias("g_source"), F.col(text).alias("t")
+        *[F.col(c).alias(f"k_{c}") for c in keep],
+        F.col(lang).alias("g_lang"),
+        F.col(source).alias("g_source"),
+        *([] if text in keep else [F.col(text).alias("t")]),
     )
 
 
-def _stats(renamed: DataFrame) -> DataFrame:
-    return with_features(text_stats(renamed, [c for c in renamed.columns if c != "t"], "t"))
+def _stats(renamed: DataFrame, text: str) -> DataFrame:
+    body = "t" if "t" in renamed.columns else f"k_{text}"
+    return with_features(text_stats(renamed, [c for c in renamed.columns if c != "t"], body))
 
 
 def _judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
@@ -204,7 +208,7 @@ def apply_rules(docs: DataFrame, keep: list[str], text: str = "text", lang: str
     The texts are read once; the counts are written to the shared folder and
     serve both the sketches and the verdicts.
     """
-    stats = materialise(_stats(_renamed(docs, keep, text, lang, source)), "quality-stats")
+    stats = materialise(_stats(_renamed(docs, keep, text, lang, source), text), "quality-stats")
     judged = _judge(stats, fences(sketch(stats, GROUP, list(FEATURES)), GROUP))
     return judged.select(*[F.col(f"k_{c}").alias(c) for c in keep], *STATS, "base_failed", "kept")
 
@@ -215,7 +219,7 @@ def filter_docs(docs: DataFrame, text: str = "text", lang: str = "lang", source:
     Reads the texts twice (for the fences, then for the verdicts) so that no
     text is written or shuffled on the way.
     """
-    learned = _stats(_renamed(docs, [], text, lang, source))
+    learned = _stats(_renamed(docs, [], text, lang, source), text)
     limits = materialise(fences(sketch(learned, GROUP, list(FEATURES)), GROUP), "quality-fences")
-    judged = _judge(_stats(_renamed(docs, docs.columns, text, lang, source)), limits)
+    judged = _judge(_stats(_renamed(docs, docs.columns, text, lang, source), text), limits)
     return judged.where("kept").select(*[F.col(f"k_{c}").alias(c) for c in docs.columns])
