@@ -37,7 +37,7 @@ SUB = 1 << SUB_BITS
 FEATURES: dict[str, tuple[int, bool]] = {
     "f_symbol": (100, False),  # symbols per word
     "f_dup_line": (500, False),  # lines equal to an earlier one
-    "f_repeat": (250, False),  # words in repeated three-word windows
+    "f_repeat": (400, False),  # words in repeated three-word windows
     "f_upper": (150, False),  # A-Z per word character
     "f_word_len": (2500, True),  # code points per word
 }
