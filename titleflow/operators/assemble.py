@@ -56,8 +56,11 @@ def people_long(principals: DataFrame | None, crew: DataFrame | None) -> DataFra
 
 def name_people(long: DataFrame, names: DataFrame) -> DataFrame:
     """Attach ``primaryName``; ids missing from the people table keep a NULL
-    name (and later vanish from the list)."""
-    return long.join(names.select("nconst", "primaryName"), "nconst", "left")
+    name (and later vanish from the list).  Marker ids, which a large share of
+    titles have in common, name nobody and go past the join."""
+    marker = F.col("nconst").isNull() | (F.col("nconst") == NULL_MARKER)
+    named = long.where(~marker).join(names.select("nconst", "primaryName"), "nconst", "left").select(*long.columns, "primaryName")
+    return named.unionByName(long.where(marker).withColumn("primaryName", F.lit(None).cast("string")))
 
 
 def people_lists(named: DataFrame, roles=ROLES) -> DataFrame:

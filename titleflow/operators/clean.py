@@ -69,31 +69,3 @@ def apply_spec(df: DataFrame, spec: CleanSpec) -> DataFrame:
 
 def clean(df: DataFrame, table: str) -> DataFrame:
     return apply_spec(df, SPECS[table])
-
-
-def clean_basics(df: DataFrame) -> DataFrame:
-    return clean(df, "title_basics")
-
-
-def clean_akas(df: DataFrame) -> DataFrame:
-    return clean(df, "title_akas")
-
-
-def clean_crew(df: DataFrame) -> DataFrame:
-    return clean(df, "title_crew")
-
-
-def clean_episode(df: DataFrame) -> DataFrame:
-    return clean(df, "title_episode")
-
-
-def clean_principals(df: DataFrame) -> DataFrame:
-    return clean(df, "title_principals")
-
-
-def clean_ratings(df: DataFrame) -> DataFrame:
-    return clean(df, "title_ratings")
-
-
-def clean_names(df: DataFrame) -> DataFrame:
-    return clean(df, "name_basics")

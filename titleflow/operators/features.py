@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.feature import CountVectorizerModel, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +17,6 @@ from titleflow.operators.assemble import people_long
 ROLE_LISTS = (("actors", "actor"), ("directors", "director"), ("writers", "writer"))
 SCORE_COLS = tuple(f"{role}_score_{s}" for _, role in ROLE_LISTS for s in ("mean", "max"))
 NUMERIC_COLS = SCORE_COLS + ("numVotes_log1p", "startYear_z")
-MAX_GENRES = 1 << 18  # same ceiling as Spark's CountVectorizer vocabulary
 
 
 # ------------------------------------------------------------------ lookups
@@ -70,6 +69,14 @@ def role_name_long(base: DataFrame, keys: Sequence[str], lists=ROLE_LISTS) -> Da
     )
 
 
+def name_roles(names_idx: DataFrame, stats: DataFrame) -> DataFrame:
+    """(name, role, n, score_sum, score_max) over the people of that name with a score in the role."""
+    per_person = names_idx.where(F.col("name").isNotNull()).join(stats.select("nconst", "role", "score_role"), "nconst")
+    return per_person.groupBy("name", "role").agg(
+        F.count("score_role").alias("n"), F.sum("score_role").alias("score_sum"), F.max("score_role").alias("score_max")
+    )
+
+
 def role_scores(
     base: DataFrame,
     names_idx: DataFrame,
@@ -82,19 +89,15 @@ def role_scores(
     Every name in a role list is looked up in the name index (homonyms fan
     out: every matching person enters the mean), then in the person stats
     of that role; mean and max are taken per row of ``base``; rows without
-    any score get ``fill`` (the global mean).  One explode, two joins and one
-    aggregation cover all three roles.
+    any score get ``fill`` (the global mean).  The small lookups are joined
+    first, so the long (row, role, name) side is shuffled once.
     """
     keys = list(keys)
-    scored = (
-        role_name_long(base, keys)
-        .join(names_idx, "name")
-        .join(stats.select("nconst", "role", "score_role"), ["nconst", "role"])
-    )
+    scored = role_name_long(base, keys).join(name_roles(names_idx, stats), ["name", "role"])
     aggs = []
     for _, role in ROLE_LISTS:
-        s = F.when(F.col("role") == role, F.col("score_role"))
-        aggs += [F.avg(s).alias(f"{role}_score_mean"), F.max(s).alias(f"{role}_score_max")]
+        total, n, best = (F.when(F.col("role") == role, F.col(c)) for c in ("score_sum", "n", "score_max"))
+        aggs += [(F.sum(total) / F.sum(n)).alias(f"{role}_score_mean"), F.max(best).alias(f"{role}_score_max")]
     per_key = scored.groupBy(*keys).agg(*aggs)
     fill_col = fill if isinstance(fill, Column) else F.lit(float(fill))
     out = base.join(per_key, keys, "left")
@@ -139,13 +142,10 @@ def normalize_list(df: DataFrame, col: str, out: str | None = None) -> DataFrame
 
 
 def genre_vocabulary(df: DataFrame, col: str = "genres") -> list[str]:
-    """Sorted distinct genres (the fitted vocabulary).  Bounded: raises above
-    ``MAX_GENRES`` rather than pulling an unbounded list to the driver."""
-    vocab = df.select(F.explode(col).alias("g")).distinct()
-    rows = vocab.orderBy("g").limit(MAX_GENRES + 1).collect()
-    if len(rows) > MAX_GENRES:
-        raise ValueError(f"more than {MAX_GENRES} distinct genres")
-    return [r.g for r in rows]
+    """The fitted vocabulary: all distinct genres, sorted.  It is part of the
+    model (one feature each), counted and sorted by Spark's own indexer."""
+    each = df.select(F.explode(col).alias("g")).where(F.col("g").isNotNull())
+    return list(StringIndexer(inputCol="g", outputCol="i", stringOrderType="alphabetAsc").fit(each).labels)
 
 
 def genre_encoder(vocab: list[str], col: str = "genres", out: str = "genres_vec") -> CountVectorizerModel:

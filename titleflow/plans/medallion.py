@@ -16,7 +16,10 @@ from pyspark.sql import types as T
 
 from titleflow.operators.assemble import assemble_gold
 from titleflow.operators.clean import SPECS, apply_spec
+from titleflow.operators.enrich import coverage, parse_replies, title_plots
+from titleflow.operators.sample import DEFAULT_TOTAL, sample_titles
 from titleflow.plans.fixtures import EXTRACTS
+from titleflow.sources.files import exists
 from titleflow.sources.landing import latest_load_date, read_landing, with_load_time
 from titleflow.sources.tables import create_or_merge, read_table
 
@@ -94,13 +97,37 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ta
     return run_each(spark, tables, step)
 
 
-def silver_to_gold(spark: SparkSession, silver_root: str, plots: DataFrame, gold_path: str) -> None:
-    """Assemble the prediction input from silver and the plots table."""
+def ratings_to_plots(
+    spark: SparkSession, silver_root: str, fetch: Callable[[DataFrame], DataFrame], total: int = DEFAULT_TOTAL
+) -> DataFrame:
+    """Draw the stratified sample of titles from silver ratings, have ``fetch``
+    look them up -- (tconst, ...) in, (tconst, body) replies out -- and write
+    the usable plots to ``<silver_root>/title_plots``.  Returns the coverage
+    (one row).  The replies are stored first, so nothing is fetched twice."""
+    sample = sample_titles(spark.read.parquet(f"{silver_root}/title_ratings"), total=total)
+    sample.write.mode("overwrite").parquet(f"{silver_root}/title_sample")
+    sampled = spark.read.parquet(f"{silver_root}/title_sample")
+    fetch(sampled).select("tconst", "body").write.mode("overwrite").parquet(f"{silver_root}/title_replies")
+    replies = spark.read.parquet(f"{silver_root}/title_replies")
+    title_plots(replies).write.mode("overwrite").parquet(f"{silver_root}/title_plots")
+    return coverage(parse_replies(replies))
+
+
+def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str, plots: DataFrame | None = None) -> None:
+    """Assemble the prediction input from silver and the plots table (default: silver's own)."""
     s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
+    plots = s("title_plots") if plots is None else plots
     gold = assemble_gold(plots, s("title_basics"), s("title_ratings"), s("title_principals"), s("title_crew"), s("name_basics"))
     gold.write.mode("overwrite").parquet(gold_path)
 
 
+LOOKUPS = ("person_stats", "name_index", "global_avg")
+
+
+def lookup_path(model_path: str, name: str) -> str:
+    return f"{model_path.rstrip('/')}_lookups/{name}"
+
+
 def gold_to_model(
     spark: SparkSession,
     gold: DataFrame,
@@ -121,28 +148,39 @@ def gold_to_model(
     s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
     gold = gold.checkpoint(eager=True)
     train_keys = gold.filter(~split_flag("tconst")).select("tconst")
-    stats = Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys)
-    fill = Fe.global_avg(s("title_ratings"), titles=train_keys).scalar()
-    feats = feature_frame(gold, Fe.name_index(s("name_basics")), stats, fill).checkpoint(eager=True)
+    made = {
+        "person_stats": Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys),
+        "name_index": Fe.name_index(s("name_basics")),
+        "global_avg": Fe.global_avg(s("title_ratings"), titles=train_keys),
+    }
+    for name, df in made.items():
+        df.write.mode("overwrite").parquet(lookup_path(model_path, name))
+    stats, names, fill = read_lookups(spark, model_path)
+    feats = feature_frame(gold, names, stats, fill).checkpoint(eager=True)
     model = fit_model(feats.filter(~split_flag("tconst")), cfg)
     model.write().overwrite().save(model_path)
     held_out = labelled(feats.filter(split_flag("tconst")))
     return regression_metrics(predict(model, held_out, keep=("tconst", "averageRating")))
 
 
-def score_batch(spark: SparkSession, model_path: str, requests: DataFrame, gold: DataFrame, silver_root: str) -> DataFrame:
-    """Score a batch of requests with a saved model: (request_id,
-    predictions).  Lookups are rebuilt from the training titles of ``gold``,
-    as at fit time."""
+def read_lookups(spark: SparkSession, model_path: str):
+    """(person stats, name index, mean rating) as stored with the model; each must be there."""
+    missing = [n for n in LOOKUPS if not exists(spark, f"{lookup_path(model_path, n)}/_SUCCESS")]
+    if missing:
+        raise FileNotFoundError(f"model {model_path} lacks its lookups {missing}")
+    stats, names, mean = (spark.read.parquet(lookup_path(model_path, n)) for n in LOOKUPS)
+    return stats, names, mean.scalar()
+
+
+def score_batch(spark: SparkSession, model_path: str, requests: DataFrame, max_k: int | None = None) -> DataFrame:
+    """Score the valid requests of a batch with a saved model and the lookups
+    stored with it: (request_id, predictions).  ``validate_requests`` tells
+    why the others are left out."""
     from pyspark.ml import PipelineModel
 
-    from titleflow.operators import features as Fe
-    from titleflow.operators.model import split_flag
-    from titleflow.operators.scenario import score_requests
+    from titleflow.operators.scenario import score_requests, validate_requests
 
-    s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
-    train_keys = gold.filter(~split_flag("tconst")).select("tconst")
-    stats = Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys)
-    fill = Fe.global_avg(s("title_ratings"), titles=train_keys).scalar()
+    stats, names, fill = read_lookups(spark, model_path)
+    valid = validate_requests(requests).where("is_valid").select("request_id")
     model = PipelineModel.load(model_path)
-    return score_requests(model, requests, Fe.name_index(s("name_basics")), stats, fill)
+    return score_requests(model, requests.join(valid, "request_id", "left_semi"), names, stats, fill, max_k=max_k)

@@ -357,8 +357,19 @@ query(
 SELECT tconst, averageRating, numVotes, rating_group FROM (
   SELECT *, row_number() OVER (PARTITION BY rating_group ORDER BY md5(tconst || ':42'), tconst) AS rn
   FROM banded_ratings) s
-WHERE rn <= CASE rating_group WHEN 'low' THEN 600 WHEN 'medium_low' THEN 900
-                              WHEN 'medium_high' THEN 900 WHEN 'high' THEN 600 ELSE 0 END
+WHERE rn <= CASE rating_group WHEN 'low' THEN 60000 WHEN 'medium_low' THEN 90000
+                              WHEN 'medium_high' THEN 90000 WHEN 'high' THEN 60000 ELSE 0 END
+""",
+)
+query(
+    "stratified_sample_share",
+    """
+SELECT tconst, averageRating, numVotes, rating_group FROM (
+  SELECT *, row_number() OVER (PARTITION BY rating_group ORDER BY md5(tconst || ':42'), tconst) AS rn,
+         (SELECT count(*) // 10 FROM silver_title_ratings) AS total
+  FROM banded_ratings) s
+WHERE rn <= floor(total * CASE rating_group WHEN 'low' THEN 0.2::DOUBLE WHEN 'medium_low' THEN 0.3::DOUBLE
+                                            WHEN 'medium_high' THEN 0.3::DOUBLE WHEN 'high' THEN 0.2::DOUBLE ELSE 0 END)
 """,
 )
 

@@ -39,8 +39,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder.
 
     The cluster names it in ``spark.checkpoint.dir`` (or through
-    ``SparkContext.setCheckpointDir``); we only create our own folder when
-    nothing is set, which happens in local tests.
+    ``SparkContext.setCheckpointDir``).  Where nothing is set, a local session
+    (tests) gets a folder of its own; on a cluster that is an error.
     """
     try:
         sc = spark.sparkContext
@@ -54,7 +54,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when the session names no shared folder (local tests).
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        # One process: its own temporary folder is shared by all its tasks.
         configured = tempfile.mkdtemp(prefix="titleflow-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()

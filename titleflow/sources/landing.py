@@ -1,9 +1,15 @@
 """Landing files: tab-separated extracts in, typed tables out.
 
-Layout: ``<root>/<name>.tsv/load_date=<yyyy-mm-dd>/part-*.csv.gz``, i.e.
-one directory per extract, one Hive-style partition per load date, so the
-latest load is chosen by partition pruning instead of reading every file.
-Gzip is decoded by the reader itself (no driver-side decompression).
+Two layouts are read: the one written here,
+``<root>/<name>.tsv/load_date=<yyyy-mm-dd>/part-*.csv.gz`` (one directory per
+extract, one folder per load date), and a flat one,
+``<root>/<yyyy-mm-dd>/<name>.tsv[.gz]``.  A read lists child folders only and
+opens just the chosen day's.  Gzip is decoded by the reader itself (no
+driver-side decompression).
+
+Fields are written as they stand: blanks are kept and nothing is quoted.  A
+NULL is an empty field and an empty text is ``EMPTY``; a text that holds a
+tab, a line end or is ``EMPTY`` itself cannot be written and fails the job.
 """
 
 from __future__ import annotations
@@ -16,14 +22,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.sources.readers import spread
+from titleflow.sources.files import children, exists
 
 # Quoting is switched off: the extracts never quote, and a title that starts
 # with an unclosed quote would otherwise swallow the following columns.
-TSV_READ = {"header": "true", "sep": "\t", "quote": "", "mode": "PERMISSIVE"}
-TSV_WRITE = {"header": "true", "sep": "\t", "quote": "", "escapeQuotes": "false", "compression": "gzip"}
+_EXACT = {"header": "true", "sep": "\t", "quote": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+TSV_READ = {**_EXACT, "mode": "PERMISSIVE"}
+TSV_WRITE = {**_EXACT, "escapeQuotes": "false", "compression": "gzip", "nullValue": "", "emptyValue": ""}
+EMPTY = "\u2400"
 PARTITION = "load_date"
-_DATE_DIR = re.compile(rf"/{PARTITION}=(\d{{4}}-\d{{2}}-\d{{2}})/")
+_DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
+_DATE_DIR = re.compile(rf"{PARTITION}=({_DATE.pattern})")
 
 
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None, **options) -> DataFrame:
@@ -31,16 +40,33 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType |
     reader = spark.read.options(**{**TSV_READ, **options})
     if schema is not None:
         reader = reader.schema(schema)
-    return reader.csv(path)
+    return decode_empty(reader.csv(path))
+
+
+def decode_empty(df: DataFrame) -> DataFrame:
+    """``EMPTY`` fields as empty texts (file metadata columns stay available)."""
+    texts = {f.name: F.when(F.col(f"`{f.name}`") == EMPTY, F.lit("")).otherwise(F.col(f"`{f.name}`")) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.withColumns(texts) if texts else df
+
+
+def _encoded(df: DataFrame) -> DataFrame:
+    """Text columns as fields; fails on a text that a field cannot hold."""
+
+    def field(name: str) -> Column:
+        c = F.col(f"`{name}`")
+        bad = c.rlike("[\t\r\n]") | (c == EMPTY)
+        return F.when(bad, F.raise_error(F.lit(f"column {name}: a text with a tab, a line end or the empty marker has no TSV form"))).when(c == "", F.lit(EMPTY)).otherwise(c)
+
+    texts = {f.name: field(f.name) for f in df.schema if isinstance(f.dataType, T.StringType)}
+    return df.withColumns(texts) if texts else df
 
 
 def write_tsv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """Gzip TSV.  Gzip files cannot be split on read, so the output is
-    spread over at least one file per core (a no-op for large inputs,
-    which already arrive in many partitions)."""
-    w = spread(df).write.mode(mode).options(**TSV_WRITE)
+    """Gzip TSV, one file per partition of ``df``.  With ``partition_by`` only
+    the folders that ``df`` has rows for are replaced."""
+    w = _encoded(df).write.mode(mode).options(**TSV_WRITE)
     if partition_by:
-        w = w.partitionBy(partition_by)
+        w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     w.csv(path)
 
 
@@ -50,54 +76,35 @@ def landing_path(root: str, name: str) -> str:
 
 
 def write_landing(df: DataFrame, root: str, name: str, load_date: str | dt.date | None = None) -> str:
-    """Land one extract; replaces the same extract's partition for that date
-    (dynamic partition overwrite) and leaves other dates alone."""
+    """Land one extract; replaces the same extract's folder for that date
+    (also by an empty extract) and leaves other dates alone.  An extract with
+    a ``load_date`` column replaces the folders of the dates in it."""
     path = landing_path(root, name)
-    if PARTITION not in df.columns:
-        day = (load_date or dt.date.today()).isoformat() if not isinstance(load_date, str) else load_date
-        df = df.withColumn(PARTITION, F.lit(day))
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
+    if PARTITION in df.columns:
         write_tsv(df, path, partition_by=PARTITION)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    else:
+        day = load_date or dt.date.today()
+        write_tsv(df, f"{path}/{PARTITION}={day.isoformat() if isinstance(day, dt.date) else day}")
     return path
 
 
 def write_landing_many(frames: dict[str, DataFrame], root: str, load_date: str | dt.date | None = None, parallel: int = 4) -> list[str]:
     """Land several independent extracts.  Each write is its own Spark job;
     they are submitted from a few driver threads so small extracts share
-    the cluster instead of queueing one after another.  The partition
-    overwrite mode is set once for all of them."""
-    if not frames:
-        return []
-    spark = next(iter(frames.values())).sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    day = load_date.isoformat() if isinstance(load_date, dt.date) else (load_date or dt.date.today().isoformat())
-
-    def one(item: tuple[str, DataFrame]) -> str:
-        name, df = item
-        if PARTITION not in df.columns:
-            df = df.withColumn(PARTITION, F.lit(day))
-        path = landing_path(root, name)
-        write_tsv(df, path, partition_by=PARTITION)
-        return path
-
-    try:
-        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
-            return list(pool.map(one, frames.items()))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    the cluster instead of queueing one after another."""
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        return list(pool.map(lambda item: write_landing(item[1], root, item[0], load_date), frames.items()))
 
 
 def load_dates(spark: SparkSession, root: str) -> list[str]:
-    """Distinct load dates present under ``root``, newest first.  Uses the
-    file listing only (``inputFiles``), never the file contents."""
-    files = spark.read.format("text").option("recursiveFileLookup", "true").load(root).inputFiles()
-    return sorted({m.group(1) for f in files if (m := _DATE_DIR.search(f))}, reverse=True)
+    """Distinct load dates under ``root``, newest first, from folder names."""
+    found = set()
+    for name in children(spark, root):
+        if _DATE.fullmatch(name):
+            found.add(name)
+        elif name.endswith(".tsv"):
+            found.update(m.group(1) for c in children(spark, f"{root.rstrip('/')}/{name}") if (m := _DATE_DIR.fullmatch(c)))
+    return sorted(found, reverse=True)
 
 
 def latest_load_date(spark: SparkSession, root: str) -> str | None:
@@ -105,16 +112,24 @@ def latest_load_date(spark: SparkSession, root: str) -> str | None:
     return dates[0] if dates else None
 
 
+def landed_at(spark: SparkSession, root: str, name: str, day: str) -> str | None:
+    """Where an extract of a day lies, in either layout."""
+    flat = f"{root.rstrip('/')}/{day}/{name}.tsv"
+    for path in (f"{landing_path(root, name)}/{PARTITION}={day}", flat, f"{flat}.gz"):
+        if exists(spark, path):
+            return path
+    return None
+
+
 def read_landing(spark: SparkSession, root: str, name: str, load_date: str | None = None) -> DataFrame:
-    """One extract at one load date (default: the latest under ``root``).
-    The date filter is on the partition column, so only that folder is
-    read.  Columns are text; ``load_date`` is dropped."""
+    """One extract at one load date (default: the latest under ``root``),
+    columns as text in the order of that day's header.  Only that day's files
+    are opened; without any a ``FileNotFoundError`` names what is missing."""
     day = load_date or latest_load_date(spark, root)
-    path = landing_path(root, name)
-    df = spark.read.options(**TSV_READ).option("basePath", path).csv(path)
-    if day is None:
-        return df.limit(0).drop(PARTITION)
-    return df.filter(F.col(PARTITION) == F.lit(day).cast(df.schema[PARTITION].dataType)).drop(PARTITION)
+    path = landed_at(spark, root, name, day) if day else None
+    if path is None:
+        raise FileNotFoundError(f"no extract {name} under {root}" + (f" for {day}" if day else ""))
+    return read_tsv(spark, path)
 
 
 def table_name(path: Column | None = None) -> Column:

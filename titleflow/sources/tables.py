@@ -1,15 +1,15 @@
 """Table sinks: parquet snapshots with a keyed upsert, and JSON export.
 
 Parquet cannot overwrite a table it is reading, and has no MERGE.  A table
-is therefore a directory of snapshots ``<root>/tf_snapshot=<n>/``; an upsert reads the
-newest snapshot, merges, and writes ``tf_snapshot=<n+1>``.  Readers take the newest
-committed snapshot by partition pruning.  A failed write leaves no data
-files (the output committer publishes at job commit), so it is invisible.
+is therefore a directory of snapshots ``<root>/tf_snapshot=<n>/``; an upsert
+reads the newest snapshot, merges, and writes the next one.  A snapshot counts
+once its marker file ``_committed[-<token>]`` is there: what a failed write
+left behind has none, is never read, and is replaced by the next attempt.  A
+table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import os
 import re
 from collections.abc import Sequence
 
@@ -18,67 +18,69 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titleflow.operators.upsert import merge_frames
+from titleflow.sources.files import children, touch
 
-VERSION = "tf_snapshot"  # partition column of snapshot folders
-_V = re.compile(rf"/{VERSION}=(\d+)/")
+VERSION = "tf_snapshot"  # prefix of snapshot folders
+COMMITTED = "_committed"
+_V = re.compile(rf"{VERSION}=(\d+)")
+
+
+def snapshot_path(root: str, version: int) -> str:
+    return f"{root.rstrip('/')}/{VERSION}={version}"
+
+
+def _commits(spark: SparkSession, root: str) -> dict[int, str]:
+    """Committed snapshot number -> the token it was committed with."""
+    out = {}
+    for name in children(spark, root):
+        if m := _V.fullmatch(name):
+            marks = [c for c in children(spark, f"{root.rstrip('/')}/{name}") if c.startswith(COMMITTED)]
+            if marks:
+                out[int(m.group(1))] = marks[0][len(COMMITTED) + 1 :]
+    return out
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed snapshot numbers under ``root`` (from the file listing)."""
-    if "://" not in root or root.startswith("file:"):
-        # A local path that does not exist yet has no snapshots (and Spark
-        # would log a warning while finding that out).
-        local = root[len("file:"):] if root.startswith("file:") else root
-        if not os.path.exists(local):
-            return []
-    try:
-        # A plain recursive listing: no glob, no footer reads.
-        files = spark.read.format("text").option("recursiveFileLookup", "true").load(root).inputFiles()
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return []
-        raise
-    return sorted({int(m.group(1)) for f in files if (m := _V.search(f))})
+    """Committed snapshot numbers under ``root``."""
+    return sorted(_commits(spark, root))
 
 
 def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
     vs = versions(spark, root)
     if not vs:
         return None
-    v = vs[-1] if version is None else version
-    df = spark.read.option("basePath", root).parquet(root)
-    return df.filter(F.col(VERSION) == v).drop(VERSION)
+    return spark.read.parquet(snapshot_path(root, vs[-1] if version is None else version))
 
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{VERSION}={version}")
+def write_snapshot(df: DataFrame, root: str, version: int, token: str = "") -> None:
+    path = snapshot_path(root, version)
+    df.write.mode("overwrite").parquet(path)
+    touch(df.sparkSession, f"{path}/{COMMITTED}" + (f"-{token}" if token else ""))
 
 
-def create_or_merge(
-    spark: SparkSession, df: DataFrame, root: str, keys: Sequence[str] | None = None, version: int | None = None
-) -> int:
+def create_or_merge(spark: SparkSession, df: DataFrame, root: str, keys: Sequence[str] | None = None, token: str = "") -> int:
     """Create the table from ``df`` if it has no snapshot yet, else MERGE
     ``df`` into the newest snapshot on ``keys`` (default: the first column,
-    as the source pipeline did).  Returns the snapshot number written.
-    An empty ``df`` writes nothing."""
-    if df.isEmpty():
-        vs = versions(spark, root)
-        return vs[-1] if vs else -1
+    as the source pipeline did).  Returns the newest snapshot number.
+
+    An empty ``df`` writes nothing; nor does one whose ``token`` (letters,
+    digits, ``-``) a snapshot carries already, so a load that is run again
+    after it was committed changes nothing.  Columns new in ``df`` join the
+    table (NULL for rows that the load does not touch).
+    """
+    commits = _commits(spark, root)
+    newest = max(commits, default=-1)
+    if (token and token in commits.values()) or df.isEmpty():
+        return newest
     keys = list(keys) if keys else [df.columns[0]]
-    vs = versions(spark, root)
-    if version is None:
-        nxt = vs[-1] + 1 if vs else 0
-        below = vs
+    if newest < 0:
+        out = df
     else:
-        # An explicit number (a streaming batch id): merge onto the newest
-        # snapshot *below* it, so re-running the same batch rewrites the
-        # same snapshot from the same input.
-        nxt = version
-        below = [v for v in vs if v < version]
-    current = read_table(spark, root, below[-1]) if below else None
-    out = df if current is None else merge_frames(current, df.select(*current.columns), keys)
-    write_snapshot(out, root, nxt)
-    return nxt
+        current = spark.read.parquet(snapshot_path(root, newest))
+        new = {c: F.lit(None).cast(df.schema[c].dataType) for c in df.columns if c not in current.columns}
+        out = merge_frames(current.withColumns(new) if new else current, df, keys)
+    write_snapshot(out, root, newest + 1, token)
+    return newest + 1
 
 
 def export_json(df: DataFrame, path: str) -> None:

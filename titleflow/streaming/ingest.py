@@ -3,12 +3,13 @@
 A file-source stream watches a landing extract's folder; every micro-batch
 (the files that arrived since the last one) is stamped with its load time
 and MERGEd into the bronze table (a snapshot directory, see
-:mod:`titleflow.sources.tables`) on the table's key.  The stream's
-checkpoint (in the session's shared checkpoint folder) records which files
-were consumed, so a restart -- or a lost executor -- neither skips nor
-repeats a file; snapshot numbers are batch ids and a re-run batch rebuilds
-its snapshot from the one below it, so the merge is applied exactly once.  ``availableNow`` processes what is there and stops,
-which is how a scheduled load runs.
+:mod:`titleflow.sources.tables`) on the table's key, one load date after the
+other.  The stream's checkpoint records which files were consumed, so a
+restart -- or a lost executor -- neither skips nor repeats a file.  Snapshots
+are numbered by the table alone and carry (query id, batch id, load date): a
+batch that runs again skips the dates it has committed, and a new checkpoint
+on an existing table adds to it.  ``availableNow`` processes what is there and
+stops, which is how a scheduled load runs.
 """
 
 from __future__ import annotations
@@ -16,16 +17,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.sources.landing import PARTITION, TSV_READ, with_load_time
+from titleflow.sources.landing import PARTITION, TSV_READ, decode_empty, with_load_time
 from titleflow.sources.tables import create_or_merge, versions
 
 
 def landing_stream(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Stream of rows from the TSV files landing under ``path`` (text
     columns of ``schema``; a ``load_date`` partition column if present)."""
-    return spark.readStream.options(**TSV_READ).schema(schema).csv(path)
+    return decode_empty(spark.readStream.options(**TSV_READ).schema(schema).csv(path))
 
 
 def ingest_available(
@@ -42,13 +44,16 @@ def ingest_available(
     keys = list(keys) if keys else [schema.fieldNames()[0]]
 
     def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.drop(PARTITION) if PARTITION in batch.columns else batch
-        rows = with_load_time(rows, load_time)
-        # The snapshot number is the batch id (the stream owns the table):
-        # batch b merges onto the newest snapshot below b, so a batch that is
-        # re-run after a failure rewrites the same snapshot from the same
-        # input -- exactly once, even for NULL keys, which never match.
-        create_or_merge(batch.sparkSession, rows, bronze_root, keys, version=batch_id)
+        session = batch.sparkSession
+        run = f"{session.sparkContext.getLocalProperty('sql.streaming.queryId')}-{batch_id}"
+        if PARTITION not in batch.columns:
+            create_or_merge(session, with_load_time(batch, load_time), bronze_root, keys, token=run)
+            return
+        # One row per load date of the batch; oldest first, so the newest load wins.
+        days = sorted((r[0] for r in batch.select(PARTITION).distinct().collect()), key=lambda d: (d is not None, d))
+        for day in days:
+            rows = batch.where(F.col(PARTITION).eqNullSafe(F.lit(day))).drop(PARTITION)
+            create_or_merge(session, with_load_time(rows, load_time), bronze_root, keys, token=f"{run}-{day}")
 
     query = (
         landing_stream(spark, landing, schema)
