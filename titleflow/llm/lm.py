@@ -77,7 +77,7 @@ class Chunk:
         self.lengths = lengths
         self.part = np.repeat(parts, lengths)
         order = np.argsort(hashes, kind="stable")
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
         self.uni_keys = hashes[order]
         self.word = place[tokens]
@@ -86,12 +86,12 @@ class Chunk:
         before[1:] = self.word[:-1]
         before[starts] = np.searchsorted(self.uni_keys, np.uint64(xxhash.xxh64_intdigest(END)))
         self.context = before
-        codes, self.pair = np.unique(before * len(hashes) + self.word, return_inverse=True)
+        codes, pair = np.unique(before.astype(np.int64) * len(hashes) + self.word, return_inverse=True)
         keys = bigram_keys(self.uni_keys[codes // len(hashes)], self.uni_keys[codes % len(hashes)])
         order = np.argsort(keys, kind="stable")
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
-        self.pair_keys, self.pair = keys[order], place[self.pair]
+        self.pair_keys, self.pair = keys[order], place[pair]
 
     def requests(self):
         """(kind, keys, kept count, held count) of the unigrams (0) and bigrams (1)."""
@@ -154,7 +154,7 @@ def chunks(docs: DataFrame, part, doc_id: str, text: str) -> DataFrame:
 
 def _load(row: dict) -> Chunk:
     return Chunk(
-        unpack(row["tokens"], np.uint32).astype(np.int64),
+        unpack(row["tokens"], np.uint32),
         unpack(row["lengths"], np.uint32).astype(np.int64),
         unpack(row["parts"], np.uint8),
         unpack(row["hashes"], np.uint64),
