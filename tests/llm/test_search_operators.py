@@ -137,6 +137,15 @@ def test_reordered_and_edited_passages_are_caught(make_docs, spark, none, edge,
     assert decontaminate.with_leaks(edge, items.limit(0)).where(F.size("_leaks") == 0).count() == len(EDGE)
 
 
+def test_copies_of_an_item_are_dealt_over_blocks(make_docs, spark):
+    item = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(7, item)] * 40 + [(8, None), (None, item)], "item_id bigint, text string")
+    sizes = [len(seeds.items) for seeds, _ in decontaminate.blocks(items, "item_id", "text", 5, 100)]
+    assert sum(sizes) == 41 and len(sizes) > 2 and max(sizes) < 30
+    found = decontaminate.with_leaks(make_docs([(1, f"x {item} y"), (2, "clean")]), items, block_words=100).collect()
+    assert {r["doc_id"]: len(r["_leaks"]) for r in found} == {1: 41, 2: 0}
+
+
 # --- secrets ----------------------------------------------------------------------
 
 ASSIGN = re.compile(r"((?i:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
@@ -202,7 +211,10 @@ def test_rules_are_mined_pruned_and_matched(spark):
 # --- language model -------------------------------------------------------------------
 
 
-def test_lm_equals_brute_force(make_docs, none, monkeypatch):
+@pytest.mark.parametrize("bucket_keys, score_tokens", [(lm.BUCKET_KEYS, lm.SCORE_TOKENS), (40, 7)])
+def test_lm_equals_brute_force(make_docs, none, monkeypatch, bucket_keys, score_tokens):
+    monkeypatch.setattr(lm, "BUCKET_KEYS", bucket_keys)
+    monkeypatch.setattr(lm, "SCORE_TOKENS", score_tokens)
     draw = random.Random(6)
     texts = [" ".join(draw.choice("the of Cat dog é runs far".split()) for _ in range(draw.randint(0, 12))) for _ in range(80)] + [None, "", "unseen words"]
     parts = {i: (lm.TEST if i % 5 == 1 or i > 80 else lm.HELD if i % 5 == 2 else lm.KEPT) for i in range(len(texts))}

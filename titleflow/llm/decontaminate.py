@@ -9,8 +9,9 @@ still free in both texts is marked as a tile, again and again, until none of
 coverage, whatever the order of the passages, and ``min_coverage`` decides.
 Ties go to the match that starts first in the item, then in the document.
 
-Benchmark items are taken in blocks of about ``block_words`` words; a block is
-what a task holds (vocabulary, seeds), so memory doesn't grow with the
+Benchmark items are dealt out by row, copies too, in blocks of about
+``block_words`` words; a block is what a task holds (vocabulary, seeds), and
+the documents are written between two blocks, so memory doesn't grow with the
 benchmark: more items mean more blocks, each held against every document.
 
 Cases: null or empty texts match nothing, nor do items of fewer than
@@ -22,6 +23,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.llm.common import bound_batches, slices
+from titleflow.llm.common import bound_batches, materialise, slices
 
 WORDS = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -154,13 +156,19 @@ def leaks(text: str, seeds: Seeds, min_coverage: float) -> list[dict]:
     return out
 
 
-def blocks(items: DataFrame, item_id: str, text: str, min_tile: int, block_words: int) -> list[Seeds]:
-    """The benchmark's blocks, each collected on its own and bounded by ``block_words`` on average."""
-    n_words = F.size(F.split(F.coalesce(F.col(text), F.lit("")), r"\s+")).cast("bigint")
-    total = items.agg(F.sum(n_words)).first()[0] or 0
-    n = -(-total // block_words)
-    at = F.pmod(F.xxhash64(item_id, text), F.lit(max(n, 1)))
-    return [Seeds([tuple(r) for r in items.where(at == b).select(F.col(item_id).cast("bigint"), text).collect()], min_tile) for b in range(n)]
+def blocks(items: DataFrame, item_id: str, text: str, min_tile: int, block_words: int) -> Iterator[tuple[Seeds, bool]]:
+    """The benchmark's blocks, one at a time, and whether more follow.
+
+    Each is bounded by ``block_words`` on average: rows are dealt out by a row
+    number that is written first, so copies of one item don't share a block.
+    """
+    numbered = items.select(F.col(item_id).cast("bigint").alias("id"), F.col(text).cast("string").alias("t"), F.monotonically_increasing_id().alias("row"))
+    numbered = materialise(numbered, "benchmark-items")
+    n_words = F.size(F.split(F.coalesce("t", F.lit("")), r"\s+")).cast("bigint")
+    n = -(-(numbered.agg(F.sum(n_words)).first()[0] or 0) // block_words)
+    at = F.pmod(F.xxhash64("row"), F.lit(max(n, 1)))
+    for b in range(n):
+        yield Seeds([tuple(r) for r in numbered.where(at == b).orderBy("row").select("id", "t").collect()], min_tile), b + 1 < n
 
 
 def with_leaks(
@@ -178,8 +186,10 @@ def with_leaks(
     bound_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
     out = docs.select(*{*keep, text}, F.array().cast(HIT.simpleString()).alias("_leaks"))
-    for seeds in blocks(items, item_id, item_text, min_tile, block_words):
+    for seeds, more in blocks(items, item_id, item_text, min_tile, block_words):
         out = _scan_block(out, text, seeds, min_coverage)
+        if more:  # chained blocks would all be held by one task
+            out = materialise(out, "tiled-documents")
     return out.select(*keep, "_leaks")
 
 

@@ -38,6 +38,9 @@ from pyspark.sql import functions as F
 from titleflow.llm.common import bound_batches, materialise, slices
 
 CHUNK_BYTES = 8 << 20
+#: Tokens and n-grams (on average) that one bucket adds up, and tokens scored at once: both bound a task's memory.
+BUCKET_KEYS = 1 << 21
+SCORE_TOKENS = 1 << 18
 #: The end token, also the context of a text's first word; it is no possible word.
 END = b"\n"
 KEPT, HELD, TEST = 0, 1, 2
@@ -109,15 +112,11 @@ def _chunk_row(texts: list[bytes], parts: list[int]):
         tokens.append(0)
         lengths.append(len(words) + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab))
-    return (
-        pack(np.array(tokens, np.uint32)),
-        pack(np.array(lengths, np.uint32)),
-        pack(np.array(parts, np.uint8)),
-        pack(hashes),
-    )
+    packed = (np.array(tokens, np.uint32), np.array(lengths, np.uint32), np.array(parts, np.uint8), hashes)
+    return [pa.array([len(tokens)], pa.int64()), *(pa.array([pack(x)], pa.binary()) for x in packed)]
 
 
-CHUNK_SCHEMA = "chunk bigint, doc_ids array<bigint>, tokens binary, lengths binary, parts binary, hashes binary"
+CHUNK_SCHEMA = "chunk bigint, doc_ids array<bigint>, n_words bigint, tokens binary, lengths binary, parts binary, hashes binary"
 
 
 def chunks(docs: DataFrame, part, doc_id: str, text: str) -> DataFrame:
@@ -133,8 +132,8 @@ def chunks(docs: DataFrame, part, doc_id: str, text: str) -> DataFrame:
 
         def row():
             return pa.RecordBatch.from_arrays(
-                [pa.array([base + made]), pa.array([ids], pa.list_(pa.int64())), *(pa.array([x], pa.binary()) for x in _chunk_row(texts, parts))],
-                names=["chunk", "doc_ids", "tokens", "lengths", "parts", "hashes"],
+                [pa.array([base + made]), pa.array([ids], pa.list_(pa.int64())), *_chunk_row(texts, parts)],
+                names=["chunk", "doc_ids", "n_words", "tokens", "lengths", "parts", "hashes"],
             )
 
         for batch in batches:
@@ -218,7 +217,7 @@ def context_bucket(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, np.frexp(np.maximum(count, 1))[1], 0).astype(np.int64)
 
 
-def _parts(chunk: Chunk, uni: np.ndarray, pair: np.ndarray, total: float, some: np.ndarray):
+def _parts(chunk: Chunk, uni: np.ndarray, pair: np.ndarray, total: float, some: np.ndarray | slice):
     """(context bucket, p2, p1) of the tokens ``some``."""
     seen = uni[chunk.context[some]]
     p2 = pair[chunk.pair[some]] / np.maximum(seen, 1)
@@ -261,8 +260,10 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     stored = materialise(chunks(docs, part, doc_id, text), "lm-chunks")
+    n_words = stored.agg(F.sum("n_words")).first()[0] or 0
+    # A chunk asks for at most two n-grams a token, so buckets stay bounded however large the corpus.
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * n_words // BUCKET_KEYS))
     answers = materialise(_ask(stored, n).groupBy("kind", "bucket").applyInArrow(_answer, ANSWER_SCHEMA), "lm-answers")
     sums = answers.where("chunk = -1 and kind = 0").agg(F.sum("n_types"), F.sum("n_kept"), F.sum("n_total")).first()
     n_types, n_kept, n_total = (x or 0 for x in sums)
@@ -292,11 +293,16 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
         for row in rows.to_pylist():
             chunk = _load(row)
             uni, pair = _counts(counts, "total")
-            b, p2, p1 = _parts(chunk, uni, pair, n_total, np.arange(len(chunk.word)))
-            w = weights[b]
-            log_p = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * uniform)
-            c = uni[chunk.word]
-            base = np.log10((c + 0.5) / (n_total + 0.5 * (n_types + 1)))
+            size = len(chunk.word)
+            log_p, base, known = np.empty(size), np.empty(size), np.empty(size, np.int64)
+            for at in range(0, size, SCORE_TOKENS):
+                some = slice(at, at + SCORE_TOKENS)
+                b, p2, p1 = _parts(chunk, uni, pair, n_total, some)
+                w = weights[b]
+                log_p[some] = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] * uniform)
+                c = uni[chunk.word[some]]
+                base[some] = np.log10((c + 0.5) / (n_total + 0.5 * (n_types + 1)))
+                known[some] = c > 0
             starts = np.cumsum(chunk.lengths) - chunk.lengths
             out.append(
                 pa.table(
@@ -304,7 +310,7 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
                         "doc_id": pa.array(row["doc_ids"], pa.int64()),
                         "part": pa.array(unpack(row["parts"], np.uint8).astype(np.int32)),
                         "n_tokens": chunk.lengths,
-                        "n_known": np.add.reduceat((c > 0).astype(np.int64), starts),
+                        "n_known": np.add.reduceat(known, starts),
                         "base_score": np.add.reduceat(base, starts),
                         "score": np.add.reduceat(log_p, starts),
                     }
