@@ -139,3 +139,14 @@ def test_classifier_identity_and_learning(make_docs, edge, none, spark):
     empty = spark.createDataFrame([], "text string, label int")
     assert quality_model.train(empty).score(b"any") == pytest.approx(0.5)
     assert quality_model.score(none, trained, ["doc_id"]).count() == 0
+
+
+def test_a_training_sample_is_bounded_whatever_the_copies(spark):
+    from titleflow.llm.common import picked
+
+    rows = [("copied", 1)] * 400 + [("copied", 0)] * 50 + [(f"text {i}", i % 2) for i in range(300)] + [(None, 1)] * 3
+    df = spark.createDataFrame(rows, "text string, label int")
+    few = [tuple(r) for r in picked(df, "text", 60).collect()]
+    assert 20 < len(few) < 120 and len(few) == len(set(few)) and {t for t, _ in few} <= {t for t, _ in rows}
+    assert sorted(map(tuple, picked(df, "text", 1000).na.fill("").collect())) == sorted({(t or "", n) for t, n in rows})
+    assert picked(df.limit(0), "text", 10).count() == 0

@@ -58,6 +58,17 @@ def remainder(doc_id: str, modulus: int) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def picked(df: DataFrame, text: str, max_texts: int) -> DataFrame:
+    """The distinct rows of ``df`` for about ``max_texts`` texts at most, picked by hash.
+
+    Copies of a text count as one, so a text with very many cannot outgrow the bound.
+    """
+    total = df.select(F.xxhash64(text)).distinct().count()
+    if total > max_texts:
+        df = df.where(F.pmod(F.xxhash64(text), F.lit(total)) < max_texts)
+    return df.distinct()
+
+
 def slices(batch: pa.RecordBatch, text: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Cut a batch where its texts reach ``SLICE_BYTES``; a null text is empty."""
     texts = [t or b"" for t in batch.column(text).cast(pa.binary()).to_pylist()]

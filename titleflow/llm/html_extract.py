@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titleflow.llm.common import bound_batches, map_texts, slices
+from titleflow.llm.common import bound_batches, map_texts, picked, slices
 
 # HTML's own vocabulary.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -277,12 +277,9 @@ def _tally(html: str, label: Callable[[Tree], list[int] | None]) -> Counter:
 
 
 def train(pages: DataFrame, html: str = "html", max_pages: int = 2000, label: Callable[[Tree], list[int] | None] = label_nodes) -> Potentials:
-    """Potentials from about ``max_pages`` pages at most, picked by hash."""
+    """Potentials from about ``max_pages`` distinct pages at most, picked by hash."""
     bound_batches(pages.sparkSession)
-    total = pages.count()
-    chosen = pages.select(F.col(html).cast("string").alias("h"))
-    if total > max_pages:
-        chosen = chosen.where(F.pmod(F.xxhash64("h"), F.lit(total)) < max_pages)
+    chosen = picked(pages.select(F.col(html).cast("string").alias("h")), "h", max_pages)
 
     def run(batches):
         counts: Counter = Counter()

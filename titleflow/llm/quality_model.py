@@ -7,7 +7,7 @@ Inputs x: hashed words (present or not, scaled to length one), structure
 statistics as numbers and as one-hot bins, and the text's size as metadata.
 Language, source, ids and labels are no inputs.
 
-``train`` fits on at most about ``max_rows`` labelled texts, picked by hash, so
+``train`` fits on at most about ``max_rows`` distinct labelled texts, picked by hash, so
 its cost is bounded and repeatable; weights
 (``DIM * (1 + FACTORS)`` numbers, fixed by these constants) are broadcast and
 every document is scored in one pass without a shuffle.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titleflow.llm.common import map_texts
+from titleflow.llm.common import map_texts, picked
 
 WORD_DIM = 1 << 14
 EDGES = np.array([1e-9, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.8])
@@ -95,16 +95,16 @@ def constant(share: float) -> Model:
 
 
 def train(labelled: DataFrame, text: str = "text", label: str = "label", max_rows: int = 5000, rounds: int = 10, seed: int = 7) -> Model:
-    """Fit on ``labelled`` (text, label 0/1); of more than ``max_rows`` rows a hash picks about that many.
+    """Fit on ``labelled`` (text, label 0/1); of more than ``max_rows`` texts a hash picks about that many.
 
-    Only the picked rows' inputs reach the driver.
+    Copies of a text with the same label are learned once.  Only the picked
+    rows' inputs reach the driver.
     """
     known = labelled.where(F.col(label).isin(0, 1)).select(F.col(text).alias("t"), F.col(label).cast("double").alias("label"))
     total, ones = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not total or ones in (0, total):
         return constant(0.5 if not total else ones / total)
-    if total > max_rows:
-        known = known.where(F.pmod(F.xxhash64("t"), F.lit(total)) < max_rows)
+    known = picked(known, "t", max_rows)
 
     def make():
         def fn(texts):
