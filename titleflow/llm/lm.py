@@ -8,12 +8,12 @@ training documents is deleted from the counts, and its n-grams are predicted
 from the counts of the rest.
 
 Counts grow with the corpus, so they are never broadcast.  Documents are
-tokenized once into *chunks* (a bounded run of texts with a vocabulary of its
-own).  Every chunk sends its distinct n-grams, with how often its training
+tokenized once into *chunks* (a bounded run of texts of one part, with a
+vocabulary of its own).  Every chunk sends its distinct n-grams, with how often its training
 texts hold them, to the bucket of their hash; a bucket adds up what all chunks
 sent and answers each chunk in the order it asked, so answers carry no keys.
-Chunks then meet their answers, first to gather the held-out statistics and
-then to score.  N-grams are identified by 64-bit hashes.
+Chunks then meet their answers: the held-out ones first, to gather their
+statistics, and then all, to score.  N-grams are identified by 64-bit hashes.
 
 Held-out statistics are counts per (bucket, p2, p1) with both probabilities on
 a quarter-octave grid: a table of bounded size over all held-out events.
@@ -26,6 +26,7 @@ each; extra columns are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -76,9 +77,8 @@ def bucket_of(keys: np.ndarray, n: int) -> np.ndarray:
 class Chunk:
     """The token sequences of a run of texts, over a local vocabulary."""
 
-    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, parts: np.ndarray, hashes: np.ndarray):
-        self.lengths = lengths
-        self.part = np.repeat(parts, lengths)
+    def __init__(self, tokens: np.ndarray, lengths: np.ndarray, part: int, hashes: np.ndarray):
+        self.lengths, self.part = lengths, part
         order = np.argsort(hashes, kind="stable")
         place = np.empty(len(order), np.int32)
         place[order] = np.arange(len(order))
@@ -99,10 +99,11 @@ class Chunk:
     def requests(self):
         """(kind, keys, kept count, held count) of the unigrams (0) and bigrams (1)."""
         for kind, keys, at in ((0, self.uni_keys, self.word), (1, self.pair_keys, self.pair)):
-            yield kind, keys, *(np.bincount(at[self.part == p], minlength=len(keys)).astype(np.uint32) for p in (KEPT, HELD))
+            counts = np.bincount(at, minlength=len(keys)).astype(np.uint32)
+            yield kind, keys, *(counts if self.part == p else np.zeros_like(counts) for p in (KEPT, HELD))
 
 
-def _chunk_row(texts: list[bytes], parts: list[int]):
+def _chunk_row(texts: list[bytes]) -> list[pa.Array]:
     vocab: dict[bytes, int] = {END: 0}
     tokens: list[int] = []
     lengths = []
@@ -112,11 +113,11 @@ def _chunk_row(texts: list[bytes], parts: list[int]):
         tokens.append(0)
         lengths.append(len(words) + 1)
     hashes = np.fromiter(map(xxhash.xxh64_intdigest, vocab), np.uint64, len(vocab))
-    packed = (np.array(tokens, np.uint32), np.array(lengths, np.uint32), np.array(parts, np.uint8), hashes)
+    packed = (np.array(tokens, np.uint32), np.array(lengths, np.uint32), hashes)
     return [pa.array([len(tokens)], pa.int64()), *(pa.array([pack(x)], pa.binary()) for x in packed)]
 
 
-CHUNK_SCHEMA = "chunk bigint, doc_ids array<bigint>, n_words bigint, tokens binary, lengths binary, parts binary, hashes binary"
+CHUNK_SCHEMA = "chunk bigint, part int, doc_ids array<bigint>, n_words bigint, tokens binary, lengths binary, hashes binary"
 
 
 def chunks(docs: DataFrame, part, doc_id: str, text: str) -> DataFrame:
@@ -124,29 +125,28 @@ def chunks(docs: DataFrame, part, doc_id: str, text: str) -> DataFrame:
     source = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), part.cast("int").alias("part"), F.col(text).cast("string").alias("t"))
 
     def run(batches):
-        base, made = TaskContext.get().partitionId() << 24, 0
-        ids: list = []
-        texts: list[bytes] = []
-        parts: list[int] = []
-        size = 0
-
-        def row():
-            return pa.RecordBatch.from_arrays(
-                [pa.array([base + made]), pa.array([ids], pa.list_(pa.int64())), *_chunk_row(texts, parts)],
-                names=["chunk", "doc_ids", "n_words", "tokens", "lengths", "parts", "hashes"],
+        numbers = count(TaskContext.get().partitionId() << 24)
+        held: dict[int, tuple[list, list[bytes]]] = {p: ([], []) for p in (KEPT, HELD, TEST)}
+        sizes = dict.fromkeys(held, 0)
+
+        def row(p: int):
+            ids, texts = held[p]
+            made = pa.RecordBatch.from_arrays(
+                [pa.array([next(numbers)]), pa.array([p], pa.int32()), pa.array([ids], pa.list_(pa.int64())), *_chunk_row(texts)],
+                names=["chunk", "part", "doc_ids", "n_words", "tokens", "lengths", "hashes"],
             )
+            held[p], sizes[p] = ([], []), 0
+            return made
 
         for batch in batches:
             for own, some in slices(batch, "t"):
-                ids += own.column("doc_id").to_pylist()
-                parts += own.column("part").to_pylist()
-                texts += some
-                size += sum(map(len, some))
-                if size >= CHUNK_BYTES:
-                    yield row()
-                    ids, texts, parts, size, made = [], [], [], 0, made + 1
-        if texts:
-            yield row()
+                for doc, p, t in zip(own.column("doc_id").to_pylist(), own.column("part").to_pylist(), some):
+                    held[p][0].append(doc)
+                    held[p][1].append(t)
+                    sizes[p] += len(t)
+                    if sizes[p] >= CHUNK_BYTES:
+                        yield row(p)
+        yield from (row(p) for p, (_, texts) in held.items() if texts)
 
     return source.mapInArrow(run, CHUNK_SCHEMA)
 
@@ -155,13 +155,13 @@ def _load(row: dict) -> Chunk:
     return Chunk(
         unpack(row["tokens"], np.uint32),
         unpack(row["lengths"], np.uint32).astype(np.int64),
-        unpack(row["parts"], np.uint8),
+        row["part"],
         unpack(row["hashes"], np.uint64),
     )
 
 
 def _ask(stored: DataFrame, n: int) -> DataFrame:
-    """(kind, bucket, chunk, keys, kept, held): what each chunk sends to each bucket."""
+    """(kind, bucket, chunk, part, keys, kept, held): what each chunk sends to each bucket."""
 
     def run(batches):
         for batch in batches:
@@ -172,22 +172,21 @@ def _ask(stored: DataFrame, n: int) -> DataFrame:
                     cuts = np.searchsorted(bucket_of(keys, n), np.arange(n + 1, dtype=np.uint64))
                     for b in np.flatnonzero(cuts[1:] > cuts[:-1]):
                         part = slice(cuts[b], cuts[b + 1])
-                        for name, value in zip(("kind", "bucket", "chunk", "keys", "kept", "held"), (kind, int(b), row["chunk"], pack(keys[part]), pack(kept[part]), pack(held[part]))):
+                        for name, value in zip(ASKED, (kind, int(b), row["chunk"], row["part"], pack(keys[part]), pack(kept[part]), pack(held[part]))):
                             out[name].append(value)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out["kind"], pa.int32()), pa.array(out["bucket"], pa.int32()), pa.array(out["chunk"], pa.int64())]
-                    + [pa.array(out[c], pa.binary()) for c in ("keys", "kept", "held")],
-                    names=["kind", "bucket", "chunk", "keys", "kept", "held"],
+                    [pa.array(out[c], t) for c, t in zip(ASKED, [pa.int32(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 3])], names=ASKED
                 )
 
-    return stored.select("chunk", "tokens", "lengths", "parts", "hashes").mapInArrow(run, "kind int, bucket int, chunk bigint, keys binary, kept binary, held binary")
+    return stored.select("chunk", "part", "tokens", "lengths", "hashes").mapInArrow(run, "kind int, bucket int, chunk bigint, part int, keys binary, kept binary, held binary")
 
 
-ANSWER_SCHEMA = "chunk bigint, kind int, bucket int, kept binary, total binary, n_types bigint, n_kept bigint, n_total bigint"
+ASKED = ["kind", "bucket", "chunk", "part", "keys", "kept", "held"]
+ANSWER_SCHEMA = "chunk bigint, part int, kind int, bucket int, kept binary, total binary, n_types bigint, n_kept bigint, n_total bigint"
 
 
 def _answer(task: pa.Table) -> pa.Table:
-    """Add up a bucket's n-grams; one row back to each chunk and one (chunk -1) of sums."""
+    """Add up a bucket's n-grams; one row back to each chunk (the kept counts for held-out ones alone) and one (chunk -1) of sums."""
     rows = task.to_pylist()
     keys = [unpack(r["keys"], np.uint64) for r in rows]
     sizes = [len(k) for k in keys]
@@ -198,12 +197,12 @@ def _answer(task: pa.Table) -> pa.Table:
     kind, bucket = rows[0]["kind"], rows[0]["bucket"]
     cuts = np.cumsum([0, *sizes])
     out = [
-        {"chunk": r["chunk"], "kind": kind, "bucket": bucket, "kept": pack(kept[at[a:b]]), "total": pack(total[at[a:b]]), "n_types": 0, "n_kept": 0, "n_total": 0}
+        {"chunk": r["chunk"], "part": r["part"], "kind": kind, "bucket": bucket, "kept": pack(kept[at[a:b]]) if r["part"] == HELD else b"", "total": pack(total[at[a:b]]), "n_types": 0, "n_kept": 0, "n_total": 0}
         for r, a, b in zip(rows, cuts, cuts[1:])
     ]
     sums = {"n_types": int((total > 0).sum()), "n_kept": int(kept.sum()), "n_total": int(total.sum())}
-    out.append({"chunk": -1, "kind": kind, "bucket": bucket, "kept": b"", "total": b""} | sums)
-    return pa.Table.from_pylist(out, schema=pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("kept", pa.binary()), ("total", pa.binary()), ("n_types", pa.int64()), ("n_kept", pa.int64()), ("n_total", pa.int64())]))
+    out.append({"chunk": -1, "part": -1, "kind": kind, "bucket": bucket, "kept": b"", "total": b""} | sums)
+    return pa.Table.from_pylist(out, schema=pa.schema([("chunk", pa.int64()), ("part", pa.int32()), ("kind", pa.int32()), ("bucket", pa.int32()), ("kept", pa.binary()), ("total", pa.binary()), ("n_types", pa.int64()), ("n_kept", pa.int64()), ("n_total", pa.int64())]))
 
 
 def _counts(answers: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
@@ -217,7 +216,7 @@ def context_bucket(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, np.frexp(np.maximum(count, 1))[1], 0).astype(np.int64)
 
 
-def _parts(chunk: Chunk, uni: np.ndarray, pair: np.ndarray, total: float, some: np.ndarray | slice):
+def _parts(chunk: Chunk, uni: np.ndarray, pair: np.ndarray, total: float, some: slice):
     """(context bucket, p2, p1) of the tokens ``some``."""
     seen = uni[chunk.context[some]]
     p2 = pair[chunk.pair[some]] / np.maximum(seen, 1)
@@ -268,23 +267,24 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
     sums = answers.where("chunk = -1 and kind = 0").agg(F.sum("n_types"), F.sum("n_kept"), F.sum("n_total")).first()
     n_types, n_kept, n_total = (x or 0 for x in sums)
     uniform = 1.0 / (n_types + 1)
-    asked = answers.where("chunk >= 0").select("chunk", "kind", "bucket", "kept", "total")
+    asked = answers.where("chunk >= 0").select("chunk", "part", "kind", "bucket", "kept", "total")
 
     def held_cells(rows: pa.Table, counts: pa.Table) -> pa.Table:
         cells: dict = {}
         for row in rows.to_pylist():
             chunk = _load(row)
-            some = chunk.part == HELD
-            if some.any():
-                b, p2, p1 = _parts(chunk, *_counts(counts, "kept"), n_kept, some)
+            uni, pair = _counts(counts, "kept")
+            for first in range(0, len(chunk.word), SCORE_TOKENS):
+                b, p2, p1 = _parts(chunk, uni, pair, n_kept, slice(first, first + SCORE_TOKENS))
                 at, n_at = np.unique(np.stack([b, _on_grid(p2), _on_grid(p1)]), axis=1, return_counts=True)
                 for cell, k in zip(at.T.tolist(), n_at.tolist()):
                     cells[tuple(cell)] = cells.get(tuple(cell), 0) + k
         table = [list(x) for x in zip(*cells)] if cells else [[], [], []]
         return pa.table([pa.array(c, pa.int64()) for c in (*table, list(cells.values()))], names=["b", "q2", "q1", "n"])
 
-    meet = lambda columns: stored.drop("doc_ids").groupBy("chunk").cogroup(asked.select("chunk", "kind", "bucket", *columns).groupBy("chunk"))
-    cells = meet(["kept"]).applyInArrow(held_cells, "b bigint, q2 bigint, q1 bigint, n bigint").groupBy("b", "q2", "q1").agg(F.sum("n").alias("n"))
+    meet = lambda rows, counts: rows.groupBy("chunk").cogroup(counts.groupBy("chunk"))
+    held_out = meet(stored.drop("doc_ids").where(F.col("part") == HELD), asked.where(F.col("part") == HELD).select("chunk", "kind", "bucket", "kept"))
+    cells = held_out.applyInArrow(held_cells, "b bigint, q2 bigint, q1 bigint, n bigint").groupBy("b", "q2", "q1").agg(F.sum("n").alias("n"))
     learned = learn_weights([tuple(r) for r in cells.collect()], uniform)
     weights = np.array([learned.get(b, PRIOR) for b in range(64)])
 
@@ -308,7 +308,7 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
                 pa.table(
                     {
                         "doc_id": pa.array(row["doc_ids"], pa.int64()),
-                        "part": pa.array(unpack(row["parts"], np.uint8).astype(np.int32)),
+                        "part": pa.array(np.full(len(chunk.lengths), chunk.part, np.int32)),
                         "n_tokens": chunk.lengths,
                         "n_known": np.add.reduceat(known, starts),
                         "base_score": np.add.reduceat(base, starts),
@@ -318,6 +318,6 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
             )
         return pa.concat_tables(out)
 
-    done = stored.groupBy("chunk").cogroup(asked.select("chunk", "kind", "bucket", "total").groupBy("chunk"))
+    done = meet(stored, asked.select("chunk", "kind", "bucket", "total"))
     schema = "doc_id bigint, part int, n_tokens bigint, n_known bigint, base_score double, score double"
     return done.applyInArrow(scored, schema).withColumn("train_tokens", F.lit(n_total).cast("bigint"))
