@@ -351,8 +351,8 @@ FROM silver_title_ratings GROUP BY 1
 """,
 )
 query("rating_band", "SELECT * FROM banded_ratings")
-query(
-    "stratified_sample",
+cte(
+    "drawn_titles",
     """
 SELECT tconst, averageRating, numVotes, rating_group FROM (
   SELECT *, row_number() OVER (PARTITION BY rating_group ORDER BY md5(tconst || ':42'), tconst) AS rn
@@ -361,6 +361,7 @@ WHERE rn <= CASE rating_group WHEN 'low' THEN 60000 WHEN 'medium_low' THEN 90000
                               WHEN 'medium_high' THEN 90000 WHEN 'high' THEN 60000 ELSE 0 END
 """,
 )
+query("stratified_sample", "SELECT * FROM drawn_titles")
 query(
     "stratified_sample_share",
     """
@@ -415,6 +416,10 @@ FROM (SELECT tconst, jb, coalesce(json_extract_string(jb, '$.Response') = 'True'
 """,
 )
 query("parse_lookup_response", "SELECT * FROM parsed_replies WHERE plot IS NOT NULL AND plot <> 'N/A'")
+query(
+    "title_plots_job",
+    "SELECT * FROM parsed_replies WHERE plot IS NOT NULL AND plot <> 'N/A' AND tconst IN (SELECT tconst FROM drawn_titles)",
+)
 query(
     "enrichment_coverage",
     """
@@ -555,6 +560,68 @@ FROM (
 """,
 )
 
+cte("train_titles", f"SELECT tconst, genres FROM gold_prediction_input WHERE NOT {SPLIT.format(k='tconst')}")
+cte(
+    "train_stats",
+    r"""
+SELECT nconst, role, CAST(avg(CAST(rating AS DECIMAL(38,18))) AS DOUBLE) AS score_role FROM (
+  SELECT l.tconst, l.role, l.nconst, max(r.averageRating) AS rating
+  FROM people_long l JOIN silver_title_ratings r ON l.tconst = r.tconst
+  WHERE l.nconst <> '\N' AND l.tconst IN (SELECT tconst FROM train_titles)
+  GROUP BY l.tconst, l.role, l.nconst) t
+GROUP BY nconst, role
+""",
+)
+cte("train_avg", "SELECT avg(averageRating) AS fill FROM silver_title_ratings WHERE tconst IN (SELECT tconst FROM train_titles)")
+cte(
+    "train_role_agg",
+    "SELECT l.tconst, "
+    + ", ".join(
+        f"{fn}(CASE WHEN l.role = '{role}' THEN s.score_role END) AS {role}_score_{name}"
+        for role in ("actor", "director", "writer")
+        for fn, name in (("avg", "mean"), ("max", "max"))
+    )
+    + """
+FROM gold_role_long l JOIN name_index n ON l.name = n.name
+JOIN train_stats s ON s.nconst = n.nconst AND s.role = l.role
+GROUP BY l.tconst
+""",
+)
+cte(
+    "gold_genres",
+    r"""
+SELECT tconst, CASE WHEN genres IS NULL THEN []::VARCHAR[]
+  ELSE list_filter(list_transform(string_split_regex(trim(genres), '\s*,\s*'), lambda x: trim(x)),
+                   lambda x: x IS NOT NULL AND x <> '' AND x <> '\N') END AS genres_list
+FROM gold_prediction_input
+""",
+)
+cte("train_vocab", "SELECT DISTINCT unnest(genres_list) AS genre FROM gold_genres WHERE tconst IN (SELECT tconst FROM train_titles)")
+query(
+    "train_features",
+    "SELECT g.tconst, "
+    + ", ".join(f"{r6(f'coalesce(a.{c}, fill)')} AS {c}" for c in _score_cols)
+    + f""", 0.0::DOUBLE AS numVotes_log1p, {r6('coalesce((g.year - y.mu) / y.sigma, 0.0)')} AS startYear_z,
+  coalesce(b.genre_vector, '') AS genre_vector, CAST(8 + n_genres + 64 AS INTEGER) AS width, g.averageRating
+FROM gold_prediction_input g LEFT JOIN train_role_agg a ON g.tconst = a.tconst
+LEFT JOIN (
+  SELECT t.tconst, string_agg(CASE WHEN list_contains(t.genres_list, v.genre) THEN '1' ELSE '0' END, '|' ORDER BY v.genre) AS genre_vector
+  FROM gold_genres t, train_vocab v GROUP BY t.tconst) b ON g.tconst = b.tconst,
+train_avg, (SELECT count(*) AS n_genres FROM train_vocab) k, (
+  SELECT coalesce(avg(year), 0.0) AS mu,
+         CASE WHEN stddev_samp(year) IS NULL OR stddev_samp(year) = 0 THEN 1.0 ELSE stddev_samp(year) END AS sigma
+  FROM gold_prediction_input) y
+""",
+)
+query("score_titles", f"SELECT tconst, averageRating, true AS in_label_range FROM gold_prediction_input WHERE {SPLIT.format(k='tconst')}")
+query(
+    "svd_text",
+    """
+SELECT tconst, 64 AS width, tconst IN (SELECT tconst FROM plot_tfidf) AS has_terms, true AS within_norm
+FROM silver_title_plots
+""",
+)
+
 # ------------------------------------------------------------------ scenarios
 cte(
     "scoring_requests",
@@ -563,7 +630,8 @@ SELECT tconst AS request_id,
        CASE WHEN genres IS NULL THEN []::VARCHAR[]
             ELSE list_filter(list_transform(string_split_regex(trim(genres), '\s*,\s*'), lambda x: trim(x)),
                              lambda x: x IS NOT NULL AND x <> '' AND x <> '\N') END AS genres,
-       plot, actors, directors, writers, 3 AS top_k
+       plot, actors, directors, writers,
+       CAST(nullif(CAST(substr(tconst, 3) AS BIGINT) % 4, 0) AS INTEGER) AS top_k
 FROM gold_prediction_input
 """,
 )
@@ -620,14 +688,27 @@ query(
     "combinations",
     "SELECT request_id, a_pos, d_pos, w_pos, actor, director, writer, combination FROM req_combos",
 )
-query(
-    "topk_per_request",
+cte(
+    "best_combos",
     f"""
 SELECT request_id, rank, combination, score FROM (
-  SELECT request_id, combination, score,
-         CAST(row_number() OVER (PARTITION BY request_id ORDER BY score DESC, combination, a_pos, d_pos, w_pos) AS INTEGER) AS rank
-  FROM (SELECT *, {r6('(am + dm + wm) / 3.0')} AS score FROM req_combos) c) r
-WHERE rank <= 3
+  SELECT c.request_id, combination, score, q.top_k,
+         CAST(row_number() OVER (PARTITION BY c.request_id ORDER BY score DESC, combination, a_pos, d_pos, w_pos) AS INTEGER) AS rank
+  FROM (SELECT *, {r6('(am + dm + wm) / 3.0')} AS score FROM req_combos) c
+  JOIN scoring_requests q ON c.request_id = q.request_id) r
+WHERE rank <= coalesce(top_k, 10)
+""",
+)
+query("topk_per_request", "SELECT request_id, rank, combination, score FROM best_combos")
+query(
+    "displayed_predictions",
+    "SELECT request_id, rank, combination, CAST(round(CAST(score AS DECIMAL(18, 6)), 2) AS DOUBLE) AS score FROM best_combos",
+)
+query(
+    "scenario_scoring",
+    """
+SELECT q.request_id, CAST(least(coalesce(q.top_k, 10), coalesce(c.n, 0)) AS INTEGER) AS n_predictions, true AS falling, true AS labels_known
+FROM scoring_requests q LEFT JOIN (SELECT request_id, count(*) AS n FROM req_combos GROUP BY request_id) c ON q.request_id = c.request_id
 """,
 )
 

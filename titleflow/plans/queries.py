@@ -127,6 +127,20 @@ def q_enrichment_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coverage(parse_replies(lookup_responses(spark, sf_dir)))
 
 
+@register("title_plots_job")
+def q_title_plots_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ratings -> sample -> replies -> the stored plots table, read back."""
+    from titleflow.plans.fixtures import lookup_responses
+    from titleflow.plans.medallion import ratings_to_plots
+    from titleflow.session import shared_path
+
+    root = shared_path(spark, "plots-job")
+    silver(spark, sf_dir, "title_ratings").write.parquet(f"{root}/title_ratings")
+    replies = lookup_responses(spark, sf_dir)
+    ratings_to_plots(spark, root, lambda titles: replies.join(titles.select("tconst"), "tconst", "left_semi"))
+    return spark.read.parquet(f"{root}/title_plots")
+
+
 # ------------------------------------------------------------------ features
 def _lookups(spark: SparkSession, sf_dir: str, titles: DataFrame | None = None):
     from titleflow.operators import features as Fe
@@ -249,26 +263,39 @@ def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("svd_text")
 def q_svd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can tell of the projected rows: their width, which are zero
+    (plots without a vocabulary term), and that none is longer than its
+    TF-IDF row, which has length one."""
+    from pyspark.ml.functions import vector_to_array
+
     from titleflow.operators import text as Tx
 
     plots = silver(spark, sf_dir, "title_plots")
     tm = Tx.fit_text_features(plots)
     vecs = tm.transform(plots).select("tconst", "tfidf").checkpoint(eager=True)
-    v = Tx.fit_svd(vecs)
-    return Tx.svd_project(vecs, v).select("tconst", F.col("svd"))
+    done = Tx.svd_project(vecs, Tx.fit_svd(vecs)).select("tconst", vector_to_array("svd").alias("svd"))
+    norm = F.sqrt(F.aggregate("svd", F.lit(0.0), lambda acc, x: acc + x * x))
+    return done.select("tconst", F.size("svd").alias("width"), (norm > 0).alias("has_terms"), (norm <= 1 + 1e-9).alias("within_norm"))
 
 
 @register("train_features")
 def q_train_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled vectors taken apart: numeric features, genre bits and
+    the whole width (with the text part)."""
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
 
+    from titleflow.operators.features import NUMERIC_COLS
     from titleflow.operators.model import TrainConfig, _prep_stages, train_test_split
 
     feats = _features(spark, sf_dir)
     train, _ = train_test_split(feats)
-    prep = PipelineModel(stages=_prep_stages(train, TrainConfig()))
-    return prep.transform(feats).select("tconst", vector_to_array("features").alias("features"), "averageRating")
+    stages = _prep_stages(train, TrainConfig())
+    n, n_genres = len(NUMERIC_COLS), len(stages[0].vocabulary)
+    made = PipelineModel(stages=stages).transform(feats).select("tconst", vector_to_array("features").alias("v"), "averageRating")
+    numbers = [F.col("v")[i].alias(c) for i, c in enumerate(NUMERIC_COLS)]
+    bits = F.array_join(F.slice("v", n + 1, n_genres).cast("array<int>"), "|").alias("genre_vector")
+    return _r6(made.select("tconst", *numbers, bits, F.size("v").alias("width"), "averageRating"), *NUMERIC_COLS)
 
 
 # The registered model queries grow all of the source's trees but stop them at
@@ -285,11 +312,15 @@ def _query_config():
 
 @register("score_titles")
 def q_score_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The held-out titles, and whether each one's prediction lies in the
+    range of the training labels (a forest's mean cannot leave it)."""
     from titleflow.operators.model import fit_model, predict, train_test_split
 
     train, test = train_test_split(_features(spark, sf_dir))
     model = fit_model(train, _query_config())
-    return predict(model, test, keep=("tconst", "averageRating"))
+    low, high = train.agg(F.min("averageRating"), F.max("averageRating")).first()
+    done = predict(model, test, keep=("tconst", "averageRating"))
+    return done.select("tconst", "averageRating", F.col("prediction").between(low, high).alias("in_label_range"))
 
 
 # ------------------------------------------------------------------ scenarios
@@ -326,10 +357,21 @@ def q_topk_per_request(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(scored, "score")
 
 
+@register("displayed_predictions")
+def q_displayed_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The top-k results nested per request, and back to rows for display."""
+    from titleflow.operators.scenario import nest_predictions, unnest_predictions
+
+    best = q_topk_per_request(spark, sf_dir)
+    return unnest_predictions(nest_predictions(_requests(spark, sf_dir), best), digits=2)
+
+
 @register("scenario_scoring")
 def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per request: how many predictions, whether their scores fall, and
+    whether each label is made of the request's own people."""
     from titleflow.operators.model import fit_model, train_test_split
-    from titleflow.operators.scenario import score_requests
+    from titleflow.operators.scenario import LABEL_SEP, score_requests
 
     from titleflow.plans.fixtures import scoring_requests
 
@@ -338,7 +380,16 @@ def q_scenario_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = stats.checkpoint(eager=True)
     train, _ = train_test_split(_features(spark, sf_dir, g, (idx, stats, gavg)))
     model = fit_model(train, _query_config())
-    return score_requests(model, scoring_requests(g), idx, stats, gavg.scalar())
+    requests = scoring_requests(g)
+    done = score_requests(model, requests, idx, stats, gavg.scalar()).join(requests.select("request_id", "actors", "directors", "writers"), "request_id")
+    ranks = F.sequence(F.lit(1), F.size("predictions") - 1)
+    p = lambda i: F.element_at("predictions", i)["score"]
+    falling = (F.size("predictions") < 2) | F.forall(ranks, lambda i: p(i) >= p(i + 1))
+    who = lambda x, i: F.split(x["combination"], "\\Q" + LABEL_SEP + "\\E", -1)[i]
+    known = F.forall(
+        "predictions", lambda x: F.array_contains("actors", who(x, 0)) & F.array_contains("directors", who(x, 1)) & F.array_contains("writers", who(x, 2))
+    )
+    return done.select("request_id", F.size("predictions").alias("n_predictions"), falling.alias("falling"), known.alias("labels_known"))
 
 
 # ------------------------------------------------------------------ sources and sinks
