@@ -279,6 +279,31 @@ def test_html_main_text(spark):
     assert html_extract.extract(pages, untrained, ["page_id"]).count() == 30
 
 
+@pytest.mark.parametrize(
+    "html, want",
+    [
+        ("<html><head><title>T</title><body><p>Hello", "Hello"),
+        ("<head><meta charset=utf-8><title>T</title><style>p{}</style>\n<p>Hello", "Hello"),
+        ("<head><title>T</title>Hello", "Hello"),
+        ("<head><noscript><link href=x><body><p>Hello", "Hello"),
+        ("<head><title>T</title><script>var a = '<p>'</script></head><body>Hello", "Hello"),
+        ("<div>one <svg><path d=x><p>two</p></div>three", "one two three"),
+        ("<div>one <svg><text>no</text><foreignObject><p>no</p></foreignObject></svg> two</div>", "one two"),
+        ("<ul><li>one <object><li>two</ul>three", "one two three"),
+        ("<div>one <object>no</div><p>two", "one two"),
+    ],
+)
+def test_unseen_elements_without_an_end_tag_end(html, want):
+    tree = html_extract.Tree(html)
+    assert " ".join("".join(" " if t is None else t for _, t in tree.runs).split()) == want
+
+
+def test_a_page_without_a_closed_head_keeps_its_text():
+    model = html_extract.potentials({})
+    body = "<body><main><p>The text of a page, long enough to count as content of it.</p></main>"
+    assert html_extract.page_text("<html><head><title>T</title>" + body, model) == html_extract.page_text("<html><head><title>T</title></head>" + body, model) != ""
+
+
 def test_marginals_equal_enumeration():
     from itertools import product
 

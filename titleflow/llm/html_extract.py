@@ -16,8 +16,9 @@ Counting is a Spark aggregation; the model has at most ``2 * FEATURES``
 entries per label and tag table, whatever the corpus.
 
 Cases: null or empty html gives an empty text; pages that are plain text, have
-unclosed, crossed or stray tags are read as browsers do in the main; repeated
-rows are extracted each; without training pages the priors below decide.
+unclosed, crossed or stray tags are read as browsers do in the main (a head, svg or
+math without an end tag ends at the first tag that cannot stand in it, an unclosed
+object with its parent); repeated rows are extracted each; without training pages the priors below decide.
 """
 
 from __future__ import annotations
@@ -43,6 +44,15 @@ CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"thead", "tr", "td", "th"},
 }
+#: What may stand in a head; anything else that starts there ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+#: Drawings and formulas, the HTML tags that end them, and the parts in which HTML may stand after all.
+FOREIGN = {"svg", "math"}
+BREAKOUT = set(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre "
+    "ruby s small span strike strong sub sup table tt u ul var".split()
+)
+WITH_HTML = {"foreignobject", "desc", "title", "annotation-xml", "mi", "mo", "mn", "ms", "mtext"}
 SCOPE = {"ul", "ol", "dl", "table", "body", "html", "select", "article", "section", "div"}
 OUT_TAGS = {"nav", "header", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog", "label", "input"}
 IN_TAGS = {"article", "main"}
@@ -112,7 +122,25 @@ class Tree(HTMLParser):
                 return None
         return None
 
+    def _close_unseen(self, tag: str) -> None:
+        """A head, drawing or formula without its end tag ends where a tag begins that cannot stand in it."""
+        if tag in BREAKOUT:
+            at = 0
+            for d in range(len(self.open) - 1, 0, -1):
+                if self.open[d][0] in WITH_HTML:
+                    break
+                at = d if self.open[d][0] in FOREIGN else at
+            if at:
+                self._pop_to(at)
+        if tag == "body":
+            heads = [d for d, (t, _) in enumerate(self.open) if t == "head"]
+            if heads:
+                self._pop_to(heads[0])
+        elif tag not in IN_HEAD and self.open[-1][0] == "head":
+            self._pop_to(len(self.open) - 1)
+
     def handle_starttag(self, tag, attrs):
+        self._close_unseen(tag)
         if tag not in INLINE:
             if tag not in VOID:
                 self._close_implied(tag)
@@ -148,6 +176,8 @@ class Tree(HTMLParser):
         return None
 
     def handle_data(self, data):
+        if self.open[-1][0] == "head" and data.strip(" \t\n\r\f"):  # text cannot stand in a head either
+            self._pop_to(len(self.open) - 1)
         if not self.unseen and data:
             at = self.open[-1][1]
             size = len(data.strip())
