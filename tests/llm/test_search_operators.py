@@ -179,6 +179,13 @@ def test_ownership_separates_examples_from_live(make_docs, none, edge):
     assert secrets.find(none, ["doc_id"], ["source"], ["lang"]).count() == 0
 
 
+def test_a_token_is_owned_wherever_its_first_digit_or_letter_stands(make_docs):
+    late = ["abcdefghij" * 7 + "1", "1234567_" * 9 + "Z", "abcdefghij" * 7, "1234567_" * 9]
+    docs = make_docs([(i, f"see {t} here") for i, t in enumerate(late)])
+    found = secrets.find(docs, ["doc_id"], ["source"], ["source", "lang"]).select("doc_id", secrets.rendered("all").alias("s"))
+    assert {r["doc_id"]: r["s"] for r in found.collect()} == {0: "owned:4:75", 1: "owned:4:77", 2: "", 3: ""}
+
+
 # --- URL rules ----------------------------------------------------------------------
 
 

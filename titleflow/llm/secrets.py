@@ -32,8 +32,8 @@ KINDS: list[tuple[str, str, int, int]] = [
     ("access", "AKIA[A-Z0-9]{16,}", 0, 20),
     ("hex", "[0-9a-f]{24,}", 0, 24),
 ]
-#: The method's own candidates: long tokens with letters and digits.
-OWNED = ("owned", r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,64}[0-9])(?=[0-9_+/-]{0,64}[A-Za-z])[A-Za-z0-9_+/-]{20,}", 0, 20)
+#: The method's own candidates: long tokens; ``scan`` keeps those with letters and digits.
+OWNED = ("owned", r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}", 0, 20)
 MAX_OWNERS = 2
 
 
@@ -72,7 +72,7 @@ def scan(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """Columns ``keep``, ``base`` and ``candidate`` (arrays of spans)."""
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
     kinds = [spans(F.col("_body"), k, i, p, g, n) for i, (k, p, g, n) in enumerate(KINDS)]
-    own = spans(F.col("_body"), OWNED[0], len(KINDS), *OWNED[1:])
+    own = F.filter(spans(F.col("_body"), OWNED[0], len(KINDS), *OWNED[1:]), lambda s: s["value"].rlike("[0-9]") & s["value"].rlike("[A-Za-z]"))
     return docs.select(*keep, body.alias("_body")).select(*keep, F.array_sort(F.concat(*kinds)).alias("base"), own.alias("candidate"))
 
 
