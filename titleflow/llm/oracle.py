@@ -84,4 +84,30 @@ OP5 = f"""
 WITH rowed AS (SELECT row_number() OVER () AS rid, doc_id, text, lang, source FROM documents), {rules_sql("rowed")}
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM rowed r JOIN judged j USING (rid)"""
 
-SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_line_dedup": OP10}
+#: crc32 of the id's digits, a bit at a time (-1 stands for one shift); fixed values: the polynomial and both ends.
+CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
+  flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END), 4294967295::BIGINT)"""
+
+OP13 = f"""
+WITH hashed AS (SELECT row_number() OVER () AS rid, doc_id, {WORDS} AS ws, {CRC32} AS h FROM documents),
+aimed AS (SELECT *, len(ws) AS n, (h // 10) % greatest(len(ws), 1) AS a, 3 + (h // 10) % 8 AS d FROM hashed),
+planted AS (SELECT rid, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0
+  THEN list_select(ws, list_concat(range(1, a + 1), list_transform(range(0, n - a), lambda i: a + 1 + i % (1 + (n - a) // d)))) ELSE ws END AS ws FROM aimed),
+word_at AS (SELECT rid, unnest(range(0, n)) AS i, unnest(ws) AS w FROM planted),
+usual AS (SELECT rid, i, w FROM word_at QUALIFY count(*) OVER (PARTITION BY rid, w) >= 4),
+same AS (SELECT x.rid, x.i, y.i - x.i AS q FROM usual x JOIN usual y ON x.rid = y.rid AND x.w = y.w AND x.i < y.i),
+stretch AS (SELECT rid, q, min(i) AS start, count(*) + q AS length
+  FROM (SELECT rid, q, i, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM same)
+  GROUP BY rid, q, island HAVING count(*) >= 3 * q AND count(*) + q >= 6),
+runs AS (SELECT rid, start, length, min(q) AS period FROM stretch GROUP BY rid, start, length),
+best AS (SELECT rid, start, length, period FROM runs
+  QUALIFY row_number() OVER (PARTITION BY rid ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+listed AS (SELECT rid, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS t FROM runs GROUP BY rid),
+gone AS (SELECT DISTINCT rid, unnest(range(start + period, start + length)) AS i FROM runs),
+kept AS (SELECT rid, string_agg(w, ' ' ORDER BY i) AS t FROM word_at ANTI JOIN gone USING (rid, i) GROUP BY rid)
+SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+  sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM planted p LEFT JOIN listed l USING (rid) LEFT JOIN best b USING (rid) LEFT JOIN kept k USING (rid)"""
+
+SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_line_dedup": OP10, "op13_periodic_runs": OP13}

@@ -6,13 +6,27 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titleflow.llm import bpe, decontaminate, html_extract, line_dedup, lm, quality_model, quality_rules, secrets, simhash, url_filter
+from titleflow.llm import (
+    bpe,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    lm,
+    period_runs,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    spm,
+    url_filter,
+)
 from titleflow.llm.common import remainder, table
 
 BPE_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def sha256(column: str):
@@ -54,8 +68,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = bpe.encode_decode(table(spark, sf_dir, "documents"), BPE_FILE, ["doc_id"])
+def _token_digests(done: DataFrame) -> DataFrame:
     return done.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -64,6 +77,10 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _token_digests(bpe.encode_decode(table(spark, sf_dir, "documents"), BPE_FILE, ["doc_id"]))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"), keep=["doc_id"])
     return judged.select(
@@ -110,6 +127,48 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _token_digests(spm.encode_decode(table(spark, sf_dir, "documents"), PIECE_FILE, ["doc_id"]))
+
+
+def planted_periods(doc_id: str, text: str) -> Column:
+    """The text, of every tenth document (by crc32 of its id) with words repeated from some word on."""
+    h = F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    g = F.floor(h / 10)
+    body = F.coalesce(F.col(text), F.lit(""))
+    words = F.filter(F.split(body, r"[\x20\x09-\x0D]+"), lambda w: w != "")
+
+    def repeated(ws: Column) -> Column:
+        n = F.size(ws).cast("bigint")
+        a = F.pmod(g, F.greatest(n, F.lit(1)))
+        p = F.lit(1) + F.floor((n - a) / (F.lit(3) + F.pmod(g, F.lit(8))))
+        place = lambda i: F.when(i < a, i).otherwise(a + F.pmod(i - a, p)).cast("int")
+        return F.array_join(F.transform(ws, lambda w, i: F.get(ws, place(i))), " ")
+
+    # The words are bound as a lambda's variable, so they are split once.
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(body)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words of at least six words and four periods."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_periods("doc_id", "text").alias("text"))
+    found = period_runs.find_runs(docs, ["doc_id"], min_length=6, min_periods=4)
+    order = lambda r: F.struct((r["length"] / r["period"]).alias("e"), (-r["start"]).alias("s"), (-r["period"]).alias("p"), r.alias("run"))
+    best = F.array_max(F.transform("runs", order))["run"]
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n"))))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["length"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(listed.cast("binary"), 256).alias("runs_sha256"),
+        sha256("collapsed").alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filter": op1_url_filter,
     "op2_secrets": op2_secrets,
@@ -121,4 +180,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_html_extract": op9_html_extract,
     "op10_line_dedup": op10_line_dedup,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_periodic_runs": op13_periodic_runs,
 }
