@@ -84,6 +84,22 @@ OP5 = f"""
 WITH rowed AS (SELECT row_number() OVER () AS rid, doc_id, text, lang, source FROM documents), {rules_sql("rowed")}
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM rowed r JOIN judged j USING (rid)"""
 
+TERMS = rf"translate(unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')), '{UPPER}', '{LOWER}')"
+
+OP11 = f"""
+WITH word_rows AS (SELECT rid, doc_id, {TERMS} AS term FROM (SELECT row_number() OVER () AS rid, doc_id, text FROM documents)),
+counted AS (SELECT rid, doc_id, term, count(*) AS tf FROM word_rows GROUP BY ALL),
+doc_sizes AS (SELECT rid, sum(tf)::BIGINT AS n FROM counted GROUP BY rid),
+corpus AS (SELECT count(*) AS nn, sum(n)::BIGINT AS ll FROM doc_sizes),
+weights AS (SELECT term, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, corpus GROUP BY term),
+impacts AS (SELECT c.rid, c.doc_id, c.term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * nn) // ll))) AS impact
+  FROM counted c JOIN doc_sizes USING (rid) JOIN weights USING (term), corpus),
+asked AS (SELECT qid, item_id, {TERMS} AS term FROM (SELECT row_number() OVER () AS qid, item_id, text FROM benchmark)),
+scored AS (SELECT qid, item_id, rid, doc_id, sum(impact)::BIGINT AS score FROM asked JOIN impacts USING (term) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
 #: crc32 of the id's digits, a bit at a time (-1 stands for one shift); fixed values: the polynomial and both ends.
 CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT],
   flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, ''), ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
@@ -110,4 +126,4 @@ SELECT p.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 100
   sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
 FROM planted p LEFT JOIN listed l USING (rid) LEFT JOIN best b USING (rid) LEFT JOIN kept k USING (rid)"""
 
-SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_line_dedup": OP10, "op13_periodic_runs": OP13}
+SQL: dict[str, str] = {"op5_quality_rules": OP5, "op10_line_dedup": OP10, "op11_ranked_search": OP11, "op13_periodic_runs": OP13}

@@ -18,6 +18,7 @@ from titleflow.llm import (
     period_runs,
     quality_model,
     quality_rules,
+    ranked_search,
     secrets,
     simhash,
     spm,
@@ -127,6 +128,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item is a query; its 20 best documents."""
+    index = ranked_search.build(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
 def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _token_digests(spm.encode_decode(table(spark, sf_dir, "documents"), PIECE_FILE, ["doc_id"]))
 
@@ -180,6 +187,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lm": op8_lm,
     "op9_html_extract": op9_html_extract,
     "op10_line_dedup": op10_line_dedup,
+    "op11_ranked_search": op11_ranked_search,
     "op12_sentencepiece": op12_sentencepiece,
     "op13_periodic_runs": op13_periodic_runs,
 }
