@@ -141,6 +141,18 @@ def test_classifier_identity_and_learning(make_docs, edge, none, spark):
     assert quality_model.score(none, trained, ["doc_id"]).count() == 0
 
 
+def test_training_by_id_learns_the_same_and_shuffles_no_text(spark):
+    rows = [(i, f"plain words number {i % 40} of a clean text" if i % 2 else f"BUY!! NOW!! $$$ {i % 30}") for i in range(200)] + [(500, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(0, 200, 3)] + [(500, 1), (7, None), (999, 1)], "doc_id bigint, label int")
+    for max_rows in (5000, 12):
+        by_id = quality_model.train_by_id(docs, labels, max_rows=max_rows)
+        joined = quality_model.train(docs.join(labels, "doc_id").select("text", "label"), max_rows=max_rows)
+        assert by_id.bias == joined.bias and np.array_equal(by_id.weights, joined.weights)
+    assert quality_model.train_by_id(docs, labels.limit(0)).score(b"x") == pytest.approx(0.5)
+    assert quality_model.train_by_id(docs, labels.where("label = 1")).score(b"x") == pytest.approx(1, abs=1e-5)
+
+
 def test_a_training_sample_is_bounded_whatever_the_copies(spark):
     from titleflow.llm.common import picked
 

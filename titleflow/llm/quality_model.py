@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titleflow.llm.common import map_texts, picked
+from titleflow.llm.common import map_texts, materialise, picked
 
 WORD_DIM = 1 << 14
 EDGES = np.array([1e-9, 0.01, 0.03, 0.1, 0.2, 0.35, 0.5, 0.8])
@@ -104,7 +104,32 @@ def train(labelled: DataFrame, text: str = "text", label: str = "label", max_row
     total, ones = known.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not total or ones in (0, total):
         return constant(0.5 if not total else ones / total)
-    known = picked(known, "t", max_rows)
+    return _fit_rows(picked(known, "t", max_rows), rounds, seed)
+
+
+def train_by_id(
+    docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label", max_rows: int = 5000, rounds: int = 10, seed: int = 7
+) -> Model:
+    """``train`` for texts and labels that share a key.
+
+    Keys and text hashes meet the labels and make the sample, so no text is
+    shuffled; then the sample's texts alone are read.
+    """
+    known = labels.where(F.col(label).isin(0, 1)).select(F.col(key).alias("k"), F.col(label).cast("double").alias("label"))
+    hashed = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")).withColumn("h", F.xxhash64("t"))
+    pairs = materialise(hashed.select("k", "h").join(known, "k").groupBy("h", "label").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("k")), "labelled-texts")
+    total, ones, distinct = pairs.agg(F.sum("n"), F.sum(F.col("n") * F.col("label")), F.count_distinct("h")).first()
+    if not total or ones in (0, total):
+        return constant(0.5 if not total else ones / total)
+    if distinct > max_rows:
+        pairs = pairs.where(F.pmod("h", F.lit(distinct)) < max_rows)
+    # At most about two labels for each of ``max_rows`` texts, three numbers a row.
+    sample = hashed.join(F.broadcast(pairs.select("k", "h", "label")), ["k", "h"]).select("t", "label").distinct()
+    return _fit_rows(sample, rounds, seed)
+
+
+def _fit_rows(known: DataFrame, rounds: int, seed: int) -> Model:
+    """Fit on all rows (t, label) of a bounded sample."""
 
     def make():
         def fn(texts):

@@ -93,7 +93,7 @@ def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Learns from labels whose remainder is not 0; a score of 0.3 or more predicts 1."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(remainder("doc_id", 5) != 0).select("doc_id", F.col("quality").alias("label"))
-    model = quality_model.train(docs.join(labels, "doc_id").select("text", "label"))
+    model = quality_model.train_by_id(docs, labels)
     scored = quality_model.score(docs, model, ["doc_id"])
     return scored.select(
         "doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
