@@ -64,3 +64,30 @@ def test_normalize_and_multihot(spark):
     assert mh == {"t1": "1|1", "t2": "0|0", "t3": "0|0", "t4": "0|1"}
     arr = spark.createDataFrame([("t1", ["A", " ", "B "])], "tconst string, genres array<string>")
     assert Fe.normalize_list(arr, "genres").collect()[0].genres == ["A", "B"]
+
+
+def test_own_rating_never_enters_own_features(spark):
+    """Changing a training title's rating leaves its own features as they are, and changes others'."""
+    pr = spark.createDataFrame(
+        [("t1", 1, "n1", "actor"), ("t2", 1, "n1", "actor"), ("t3", 1, "n1", "actress"), ("t1", 2, "n2", "actor"), ("t4", 1, "n2", "actor")],
+        "tconst string, ordering int, nconst string, category string",
+    )
+    crew = spark.createDataFrame([("t1", "n3", "n4"), ("t2", "n3", "\\N")], "tconst string, directors string, writers string")
+    idx = spark.createDataFrame([("A", "n1"), ("A", "n2"), ("D", "n3"), ("W", "n4")], "name string, nconst string")
+    base = spark.createDataFrame(
+        [("t1", ["A"], ["D"], ["W"]), ("t2", ["A"], ["D"], []), ("t9", ["A"], None, ["W"])],
+        "tconst string, actors array<string>, directors array<string>, writers array<string>",
+    )
+    train = spark.createDataFrame([("t1",), ("t2",), ("t3",)], "tconst string")
+
+    def scores(t1):
+        ratings = spark.createDataFrame([("t1", t1), ("t2", 6.0), ("t3", 7.0), ("t4", 1.0)], "tconst string, averageRating double")
+        return {r.tconst: r for r in Fe.own_out_scores(base, idx, pr, crew, ratings, train).collect()}
+
+    low, high = scores(2.0), scores(10.0)
+    assert low["t1"] == high["t1"] and low["t2"] != high["t2"] and low["t9"] != high["t9"]
+    # n1's other titles: 6 and 7; n2 and the writer have no other training title, so the writer is filled by the others' mean.
+    assert low["t1"].actor_score_mean == 6.5 == low["t1"].actor_score_max
+    assert low["t1"].director_score_mean == 6.0 and low["t1"].writer_score_mean == 6.5
+    # t9 is no training title: nothing is left out.
+    assert low["t9"].actor_score_max == 5.0 and low["t9"].writer_score_mean == 2.0 and low["t9"].director_score_mean == 5.0

@@ -20,6 +20,17 @@ NUMERIC_COLS = SCORE_COLS + ("numVotes_log1p", "startYear_z")
 
 
 # ------------------------------------------------------------------ lookups
+def title_credits(principals: DataFrame, crew: DataFrame, ratings: DataFrame, titles: DataFrame | None = None) -> DataFrame:
+    """(tconst, role, nconst, rating): each person once per rated title and role."""
+    long = people_long(principals, crew).filter(F.col("nconst") != NULL_MARKER)
+    return long.join(_rated(ratings, titles), "tconst").groupBy("tconst", "role", "nconst").agg(F.max("averageRating").alias("rating"))
+
+
+def _rated(ratings: DataFrame, titles: DataFrame | None) -> DataFrame:
+    r = ratings.select("tconst", "averageRating")
+    return r if titles is None else r.join(titles.select("tconst"), "tconst", "left_semi")
+
+
 def person_stats(
     principals: DataFrame, crew: DataFrame, ratings: DataFrame, titles: DataFrame | None = None
 ) -> DataFrame:
@@ -31,15 +42,7 @@ def person_stats(
     own partitioning (no shuffle), then one partial/final average per
     person: a hugely popular person is pre-aggregated map-side.
     """
-    long = people_long(principals, crew).filter(F.col("nconst") != NULL_MARKER)
-    r = ratings.select("tconst", "averageRating")
-    if titles is not None:
-        r = r.join(titles.select("tconst"), "tconst", "left_semi")
-    per_title = (
-        long.join(r, "tconst")
-        .groupBy("tconst", "role", "nconst")
-        .agg(F.max("averageRating").alias("rating"))
-    )
+    per_title = title_credits(principals, crew, ratings, titles)
     # The sum is exact (decimal), so the mean does not depend on the order
     # rows arrive in, i.e. on partitioning.
     exact = F.avg(F.col("rating").cast("decimal(38,18)")).cast("double")
@@ -106,6 +109,45 @@ def role_scores(
     )
 
 
+#: Ratings in whole millionths: sums are exact whatever the order of rows.
+MILLIONTHS = 1_000_000
+
+
+def own_out_scores(
+    base: DataFrame, names_idx: DataFrame, principals: DataFrame, crew: DataFrame, ratings: DataFrame, titles: DataFrame | None = None
+) -> DataFrame:
+    """``role_scores`` for titles whose own rating may be among the ratings: it is left out.
+
+    A person's score for a title is the mean over the person's *other* titles
+    in that role (of ``titles``, if given): the sum and count per (person,
+    role) less the credit in this very title.  A person without other titles
+    has no score, and the mean rating that fills gaps leaves the title's own
+    rating out too.  So no training label enters its own row's features, while
+    a title outside ``titles`` gets what ``role_scores`` gives it.
+
+    Plan: credits are reduced once; the long (title, person, role) side meets
+    the sums on (person, role) and its own credit on (title, person, role).
+    """
+    scaled = lambda c: F.round(F.col(c) * MILLIONTHS).cast("bigint")
+    credits = title_credits(principals, crew, ratings, titles).select("tconst", "role", "nconst", scaled("rating").alias("own"))
+    sums = credits.groupBy("nconst", "role").agg(F.sum("own").alias("total"), F.count("own").alias("n"))
+    people = role_name_long(base, ["tconst"]).join(names_idx.where(F.col("name").isNotNull()), "name")
+    met = people.join(sums, ["nconst", "role"]).join(credits, ["tconst", "role", "nconst"], "left")
+    others = F.col("n") - F.col("own").isNotNull().cast("bigint")
+    score = F.when(others > 0, (F.col("total") - F.coalesce("own", F.lit(0))) / others / MILLIONTHS)
+    aggs = [
+        f(F.when(F.col("role") == role, score)).alias(f"{role}_score_{name}")
+        for _, role in ROLE_LISTS
+        for f, name in ((F.avg, "mean"), (F.max, "max"))
+    ]
+    rated = _rated(ratings, titles).select("tconst", scaled("averageRating").alias("_own")).where(F.col("_own").isNotNull())
+    corpus = rated.agg(F.struct(F.sum("_own").alias("total"), F.count("_own").alias("n"))).scalar()
+    rest = corpus["n"] - F.col("_own").isNotNull().cast("bigint")
+    fill = F.when(rest > 0, (corpus["total"] - F.coalesce("_own", F.lit(0))) / rest / MILLIONTHS)
+    out = base.join(met.groupBy("tconst").agg(*aggs), "tconst", "left").join(rated, "tconst", "left")
+    return out.select(*[F.col(c) for c in base.columns], *[F.coalesce(F.col(c), fill).alias(c) for c in SCORE_COLS])
+
+
 # ------------------------------------------------------------------ year z-score
 def year_stats(df: DataFrame, year_col: str = "year") -> Column:
     """A scalar struct (mu, sigma) over ``df``: mean -> 0.0 when NULL,

@@ -139,7 +139,8 @@ def gold_to_model(
     return the held-out metrics (one row).
 
     The person lookups are built from the *training* titles only, so no
-    held-out label reaches a feature.
+    held-out label reaches a feature; and a training title's own rating is
+    left out of its own features.
     """
     from titleflow.operators import features as Fe
     from titleflow.operators.model import TrainConfig, feature_frame, fit_model, labelled, predict, regression_metrics, split_flag
@@ -156,7 +157,8 @@ def gold_to_model(
     for name, df in made.items():
         df.write.mode("overwrite").parquet(lookup_path(model_path, name))
     stats, names, fill = read_lookups(spark, model_path)
-    feats = feature_frame(gold, names, stats, fill).checkpoint(eager=True)
+    own_out = lambda base: Fe.own_out_scores(base, names, s("title_principals"), s("title_crew"), s("title_ratings"), train_keys)
+    feats = feature_frame(gold, names, stats, fill, scorer=own_out).checkpoint(eager=True)
     model = fit_model(feats.filter(~split_flag("tconst")), cfg)
     model.write().overwrite().save(model_path)
     held_out = labelled(feats.filter(split_flag("tconst")))

@@ -546,20 +546,6 @@ query("tfidf", f"SELECT tconst, term, {r6('weight')} AS weight FROM plot_tfidf")
 # ------------------------------------------------------------------ model
 SPLIT = "(('0x' || substr(md5({k} || ':42'), 1, 8))::BIGINT / 4294967296.0 < 0.2)"
 query("train_test_split", f"SELECT tconst, {SPLIT.format(k='tconst')} AS is_test FROM silver_title_ratings")
-query(
-    "regression_metrics",
-    f"""
-SELECT count(*) AS n,
-       {r6('sqrt(avg((p - y) * (p - y)))')} AS rmse,
-       {r6('avg(abs(p - y))')} AS mae,
-       {r6('1.0 - avg((p - y) * (p - y)) / nullif(var_pop(y), 0.0)')} AS r2
-FROM (
-  SELECT g.averageRating AS y, coalesce(a.actor_score_mean, ga.global_avg) AS p
-  FROM gold_prediction_input g LEFT JOIN gold_role_agg a ON g.tconst = a.tconst, global_avg ga
-  WHERE {SPLIT.format(k='g.tconst')}) t
-""",
-)
-
 cte("train_titles", f"SELECT tconst, genres FROM gold_prediction_input WHERE NOT {SPLIT.format(k='tconst')}")
 cte(
     "train_stats",
@@ -587,6 +573,61 @@ JOIN train_stats s ON s.nconst = n.nconst AND s.role = l.role
 GROUP BY l.tconst
 """,
 )
+query(
+    "regression_metrics",
+    f"""
+SELECT count(*) AS n,
+       {r6('sqrt(avg((p - y) * (p - y)))')} AS rmse,
+       {r6('avg(abs(p - y))')} AS mae,
+       {r6('1.0 - avg((p - y) * (p - y)) / nullif(var_pop(y), 0.0)')} AS r2
+FROM (
+  SELECT g.averageRating AS y, coalesce(a.actor_score_mean, fill) AS p
+  FROM gold_prediction_input g LEFT JOIN train_role_agg a ON g.tconst = a.tconst, train_avg
+  WHERE {SPLIT.format(k='g.tconst')}) t
+""",
+)
+
+cte(
+    "train_credits",
+    r"""
+SELECT l.tconst, l.role, l.nconst, max(CAST(round(r.averageRating * 1000000) AS BIGINT)) AS own
+FROM people_long l JOIN silver_title_ratings r ON l.tconst = r.tconst
+WHERE l.nconst <> '\N' AND l.tconst IN (SELECT tconst FROM train_titles)
+GROUP BY l.tconst, l.role, l.nconst
+""",
+)
+cte(
+    "own_out_agg",
+    "SELECT tconst, "
+    + ", ".join(
+        f"{fn}(CASE WHEN role = '{role}' THEN score END) AS {role}_score_{name}"
+        for role in ("actor", "director", "writer")
+        for fn, name in (("avg", "mean"), ("max", "max"))
+    )
+    + """
+FROM (SELECT l.tconst, l.role, (s.total - coalesce(c.own, 0)) / CAST(nullif(s.n - (c.own IS NOT NULL)::BIGINT, 0) AS DOUBLE) / 1000000 AS score
+  FROM gold_role_long l JOIN name_index n ON l.name = n.name
+  JOIN (SELECT nconst, role, sum(own)::BIGINT AS total, count(*) AS n FROM train_credits GROUP BY nconst, role) s ON s.nconst = n.nconst AND s.role = l.role
+  LEFT JOIN train_credits c ON c.tconst = l.tconst AND c.role = l.role AND c.nconst = n.nconst) t
+GROUP BY tconst
+""",
+)
+cte(
+    "own_out_fill",
+    """
+SELECT g.tconst, (total - coalesce(own, 0)) / CAST(nullif(n - (own IS NOT NULL)::BIGINT, 0) AS DOUBLE) / 1000000 AS fill
+FROM gold_prediction_input g LEFT JOIN (SELECT tconst, CAST(round(averageRating * 1000000) AS BIGINT) AS own
+  FROM silver_title_ratings WHERE tconst IN (SELECT tconst FROM train_titles)) r ON g.tconst = r.tconst,
+  (SELECT sum(CAST(round(averageRating * 1000000) AS BIGINT))::BIGINT AS total, count(averageRating) AS n
+   FROM silver_title_ratings WHERE tconst IN (SELECT tconst FROM train_titles)) k
+""",
+)
+query(
+    "role_scores_own_out",
+    "SELECT f.tconst, "
+    + ", ".join(f"{r6(f'coalesce(a.{c}, f.fill)')} AS {c}" for c in _score_cols)
+    + "\nFROM own_out_fill f LEFT JOIN own_out_agg a ON f.tconst = a.tconst\n",
+)
 cte(
     "gold_genres",
     r"""
@@ -600,14 +641,14 @@ cte("train_vocab", "SELECT DISTINCT unnest(genres_list) AS genre FROM gold_genre
 query(
     "train_features",
     "SELECT g.tconst, "
-    + ", ".join(f"{r6(f'coalesce(a.{c}, fill)')} AS {c}" for c in _score_cols)
+    + ", ".join(f"{r6(f'coalesce(a.{c}, o.fill)')} AS {c}" for c in _score_cols)
     + f""", 0.0::DOUBLE AS numVotes_log1p, {r6('coalesce((g.year - y.mu) / y.sigma, 0.0)')} AS startYear_z,
   coalesce(b.genre_vector, '') AS genre_vector, CAST(8 + n_genres + 64 AS INTEGER) AS width, g.averageRating
-FROM gold_prediction_input g LEFT JOIN train_role_agg a ON g.tconst = a.tconst
+FROM gold_prediction_input g JOIN own_out_fill o ON g.tconst = o.tconst LEFT JOIN own_out_agg a ON g.tconst = a.tconst
 LEFT JOIN (
   SELECT t.tconst, string_agg(CASE WHEN list_contains(t.genres_list, v.genre) THEN '1' ELSE '0' END, '|' ORDER BY v.genre) AS genre_vector
   FROM gold_genres t, train_vocab v GROUP BY t.tconst) b ON g.tconst = b.tconst,
-train_avg, (SELECT count(*) AS n_genres FROM train_vocab) k, (
+(SELECT count(*) AS n_genres FROM train_vocab) k, (
   SELECT coalesce(avg(year), 0.0) AS mu,
          CASE WHEN stddev_samp(year) IS NULL OR stddev_samp(year) = 0 THEN 1.0 ELSE stddev_samp(year) END AS sigma
   FROM gold_prediction_input) y

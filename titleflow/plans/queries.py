@@ -157,6 +157,15 @@ def _train_lookups(spark: SparkSession, sf_dir: str, g: DataFrame):
     return _lookups(spark, sf_dir, g.where(~split_flag("tconst")).select("tconst"))
 
 
+def _own_out(spark: SparkSession, sf_dir: str, base: DataFrame, g: DataFrame) -> DataFrame:
+    from titleflow.operators import features as Fe
+    from titleflow.operators.model import split_flag
+
+    s = lambda n: silver(spark, sf_dir, n)
+    train = g.where(~split_flag("tconst")).select("tconst")
+    return Fe.own_out_scores(base, Fe.name_index(s("name_basics")), s("title_principals"), s("title_crew"), s("title_ratings"), train)
+
+
 def _r6(df: DataFrame, *cols: str) -> DataFrame:
     """Six decimals as ``floor(x * 1e6 + 0.5) / 1e6``: the same IEEE steps in
     every engine, so exact ties round alike (``round`` differs on them)."""
@@ -187,6 +196,15 @@ def q_role_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(out.select("tconst", *SCORE_COLS), *SCORE_COLS)
 
 
+@register("role_scores_own_out")
+def q_role_scores_own_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's role scores: over the training titles, each title's own rating left out."""
+    from titleflow.operators.features import SCORE_COLS
+
+    base = gold(spark, sf_dir).select("tconst", "actors", "directors", "writers")
+    return _r6(_own_out(spark, sf_dir, base, base).select("tconst", *SCORE_COLS), *SCORE_COLS)
+
+
 @register("year_zscore")
 def q_year_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.operators.features import year_zscore
@@ -236,7 +254,8 @@ def _features(spark: SparkSession, sf_dir: str, g: DataFrame | None = None, look
     # the year statistics).
     g = gold(spark, sf_dir).checkpoint(eager=True) if g is None else g
     idx, stats, gavg = _train_lookups(spark, sf_dir, g) if lookups is None else lookups
-    return feature_frame(g, idx, stats, gavg.scalar()).checkpoint(eager=True)
+    own_out = lambda base: _own_out(spark, sf_dir, base, g)
+    return feature_frame(g, idx, stats, gavg.scalar(), scorer=own_out).checkpoint(eager=True)
 
 
 @register("train_test_split")
@@ -249,13 +268,15 @@ def q_train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("regression_metrics")
 def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics of a supplied predictor on the held-out part: the title's
-    actor score (a baseline the SQL oracle can compute too)."""
+    actor score over the training titles (a baseline the SQL oracle can
+    compute too)."""
     from titleflow.operators.model import regression_metrics, split_flag
 
     from titleflow.operators.features import role_scores
 
-    idx, stats, gavg = _lookups(spark, sf_dir)
-    titles = gold(spark, sf_dir).where(split_flag("tconst")).select("tconst", "actors", "directors", "writers", "averageRating")
+    g = gold(spark, sf_dir).select("tconst", "actors", "directors", "writers", "averageRating")
+    idx, stats, gavg = _train_lookups(spark, sf_dir, g)
+    titles = g.where(split_flag("tconst"))
     feats = role_scores(titles, idx, stats, gavg.scalar())
     pred = feats.select("averageRating", F.col("actor_score_mean").alias("prediction"))
     return _r6(regression_metrics(pred), "rmse", "mae", "r2")
