@@ -64,3 +64,23 @@ def test_ratings_to_plots(spark, scratch):
     assert {r[0]: r[1] for r in sample.groupBy("rating_group").count().collect()} == {"low": 8, "medium_low": 12, "medium_high": 12, "high": 8}
     assert (row.total, row.with_plot) == (40, 32)
     assert spark.read.parquet(f"{scratch}/s/title_plots").count() == 32
+
+
+def test_tables_run_side_by_side_and_failures_stay_apart(spark):
+    """Each of two steps waits for the other inside its own scheduler pool; a third fails."""
+    import threading
+
+    from titleflow.plans.medallion import run_each
+
+    met = threading.Barrier(2, timeout=60)
+
+    def step(table):
+        if table == "bad":
+            raise ValueError("broken extract")
+        met.wait()
+        spark.range(10).count()
+        return spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    report = [tuple(r) for r in run_each(spark, ["a", "bad", "b"], step).collect()]
+    assert report == [("a", "ok", "a"), ("bad", "failed", "ValueError: broken extract"), ("b", "ok", "b")]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

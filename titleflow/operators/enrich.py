@@ -9,10 +9,14 @@ list or a schema-inference failure.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from titleflow.functions.observed import observed
+
 # Field names of the service's reply (fixed values).
 REPLY_FIELDS = ("Response", "Title", "Year", "Plot")
 MISSING_PLOT = "N/A"
@@ -53,6 +57,20 @@ def title_plots(replies: DataFrame, key: str = "tconst", body: str = "body") ->
     return parse_replies(replies, key, body).filter(has_plot())
 
 
+def observed_coverage(parsed: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``parsed``, and a function that gives its :func:`coverage` once a job
+    has run over it: the counts ride in that job."""
+    seen = Observation()
+    watched = parsed.observe(seen, F.count(F.lit(1)).alias("total"), F.count_if(has_plot()).alias("with_plot"))
+
+    def counted() -> DataFrame:
+        total, with_plot = observed(seen, "total", "with_plot")
+        row = (total, with_plot, with_plot * 100.0 / total if total else None)
+        return parsed.sparkSession.createDataFrame([row], "total bigint, with_plot bigint, pct_with_plot double")
+
+    return watched, counted
+
+
 def coverage(parsed: DataFrame) -> DataFrame:
     """One row: replies, replies with a plot, and the percentage (NULL when
     there are no replies)."""

@@ -1,27 +1,30 @@
 """End-to-end jobs over stored layers: landing -> bronze -> silver -> gold.
 
-Each layer is a directory of tables; bronze tables are snapshot
-directories (:mod:`titleflow.sources.tables`) so loads can MERGE.  Every
-multi-table job isolates failures per table and returns a small report
-DataFrame (one row per table) instead of printing.
+Each layer is a directory of tables; bronze tables are bucketed by key
+(:mod:`titleflow.sources.buckets`) so a load rewrites what it touches.  Every
+multi-table job runs its tables side by side, isolates failures per table and
+returns a small report DataFrame (one row per table) instead of printing.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from titleflow.operators.assemble import assemble_gold
 from titleflow.operators.clean import SPECS, apply_spec
-from titleflow.operators.enrich import coverage, parse_replies, title_plots
+from titleflow.operators.enrich import has_plot, observed_coverage, parse_replies
 from titleflow.operators.sample import DEFAULT_TOTAL, sample_titles
 from titleflow.plans.fixtures import EXTRACTS
+from titleflow.sources.buckets import merge_buckets, read_buckets
 from titleflow.sources.files import exists
 from titleflow.sources.landing import latest_load_date, read_landing, with_load_time
-from titleflow.sources.tables import create_or_merge, read_table
+from titleflow.sources.tables import read_table
 
 # Upsert keys per table.  The source pipeline keyed every table on its first
 # column, which is not unique for akas and principals.
@@ -49,16 +52,32 @@ def _report(spark: SparkSession, rows: list[tuple[str, str, str]]) -> DataFrame:
     return spark.createDataFrame(rows, REPORT_SCHEMA)
 
 
-def run_each(spark: SparkSession, tables: Iterable[str], step: Callable[[str], str]) -> DataFrame:
-    """Run ``step(table)`` for every table; a failure is recorded and the
-    remaining tables still run."""
-    rows = []
-    for t in tables:
+PARALLEL = 4
+
+
+def run_each(spark: SparkSession, tables: Iterable[str], step: Callable[[str], str], parallel: int = PARALLEL) -> DataFrame:
+    """Run ``step(table)`` for every table, ``parallel`` at a time; a failure is
+    recorded and the remaining tables still run.
+
+    Each table's jobs are submitted from a thread of its own, in a scheduler
+    pool named after it (local properties are inherited), so under
+    ``spark.scheduler.mode=FAIR`` a small table does not wait for a large one.
+    """
+    tables = list(tables)
+
+    def run(table: str) -> tuple[str, str, str]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", table)
         try:
-            rows.append((t, "ok", step(t)))
+            return table, "ok", step(table)
         except Exception as e:  # noqa: BLE001 - isolation is the point
-            rows.append((t, "failed", f"{type(e).__name__}: {str(e)[:500]}"))
-    return _report(spark, rows)
+            return table, "failed", f"{type(e).__name__}: {str(e)[:500]}"
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        # Each call gets a copy of the caller's local properties.
+        waiting = [pool.submit(inheritable_thread_target(spark)(run), t) for t in tables]
+        return _report(spark, [w.result() for w in waiting])
 
 
 def landing_to_bronze(
@@ -76,10 +95,8 @@ def landing_to_bronze(
     def step(landed: str) -> str:
         table = extracts[landed]
         df = read_landing(spark, landing_root, landed, day)
-        if df.isEmpty():
-            return "empty extract, skipped"
-        v = create_or_merge(spark, with_load_time(df, load_time), f"{bronze_root}/{table}", KEYS.get(table))
-        return f"snapshot {v} from {day}"
+        done = merge_buckets(spark, with_load_time(df, load_time), f"{bronze_root}/{table}", KEYS.get(table))
+        return f"{done.rows} rows written from {day}" if done.rows else "empty extract, skipped"
 
     return run_each(spark, extracts, step)
 
@@ -88,9 +105,11 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ta
     """Clean every bronze table into silver (overwrite)."""
 
     def step(table: str) -> str:
-        df = read_table(spark, f"{bronze_root}/{table}")
+        root = f"{bronze_root}/{table}"
+        df = read_buckets(spark, root)
+        df = read_table(spark, root) if df is None else df  # the streaming ingest keeps snapshots
         if df is None:
-            raise FileNotFoundError(f"no bronze snapshot for {table}")
+            raise FileNotFoundError(f"no bronze table for {table}")
         apply_spec(df, SPECS[table]).write.mode("overwrite").parquet(f"{silver_root}/{table}")
         return "written"
 
@@ -103,14 +122,16 @@ def ratings_to_plots(
     """Draw the stratified sample of titles from silver ratings, have ``fetch``
     look them up -- (tconst, ...) in, (tconst, body) replies out -- and write
     the usable plots to ``<silver_root>/title_plots``.  Returns the coverage
-    (one row).  The replies are stored first, so nothing is fetched twice."""
+    (one row), counted while the plots are written.  The replies are stored
+    first, so nothing is fetched twice, and parsed once."""
     sample = sample_titles(spark.read.parquet(f"{silver_root}/title_ratings"), total=total)
     sample.write.mode("overwrite").parquet(f"{silver_root}/title_sample")
     sampled = spark.read.parquet(f"{silver_root}/title_sample")
     fetch(sampled).select("tconst", "body").write.mode("overwrite").parquet(f"{silver_root}/title_replies")
     replies = spark.read.parquet(f"{silver_root}/title_replies")
-    title_plots(replies).write.mode("overwrite").parquet(f"{silver_root}/title_plots")
-    return coverage(parse_replies(replies))
+    parsed, counted = observed_coverage(parse_replies(replies))
+    parsed.filter(has_plot()).write.mode("overwrite").parquet(f"{silver_root}/title_plots")
+    return counted()
 
 
 def silver_to_gold(spark: SparkSession, silver_root: str, gold_path: str, plots: DataFrame | None = None) -> None:
@@ -128,6 +149,19 @@ def lookup_path(model_path: str, name: str) -> str:
     return f"{model_path.rstrip('/')}_lookups/{name}"
 
 
+def store_lookups(silver: Callable[[str], DataFrame], titles: DataFrame, model_path: str) -> None:
+    """Store the person lookups of ``titles`` (the training part) beside a model."""
+    from titleflow.operators import features as Fe
+
+    made = {
+        "person_stats": Fe.person_stats(silver("title_principals"), silver("title_crew"), silver("title_ratings"), titles=titles),
+        "name_index": Fe.name_index(silver("name_basics")),
+        "global_avg": Fe.global_avg(silver("title_ratings"), titles=titles),
+    }
+    for name, df in made.items():
+        df.write.mode("overwrite").parquet(lookup_path(model_path, name))
+
+
 def gold_to_model(
     spark: SparkSession,
     gold: DataFrame,
@@ -149,13 +183,7 @@ def gold_to_model(
     s = lambda n: spark.read.parquet(f"{silver_root}/{n}")
     gold = gold.checkpoint(eager=True)
     train_keys = gold.filter(~split_flag("tconst")).select("tconst")
-    made = {
-        "person_stats": Fe.person_stats(s("title_principals"), s("title_crew"), s("title_ratings"), titles=train_keys),
-        "name_index": Fe.name_index(s("name_basics")),
-        "global_avg": Fe.global_avg(s("title_ratings"), titles=train_keys),
-    }
-    for name, df in made.items():
-        df.write.mode("overwrite").parquet(lookup_path(model_path, name))
+    store_lookups(s, train_keys, model_path)
     stats, names, fill = read_lookups(spark, model_path)
     own_out = lambda base: Fe.own_out_scores(base, names, s("title_principals"), s("title_crew"), s("title_ratings"), train_keys)
     feats = feature_frame(gold, names, stats, fill, scorer=own_out).checkpoint(eager=True)

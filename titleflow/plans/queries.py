@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from titleflow.functions.columns import render_list
 from titleflow.operators import assemble as A
 from titleflow.plans.domain import gold, silver
+from titleflow.plans.oracle import OFF_TIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,6 +111,36 @@ def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge_frames(ratings_load(spark, sf_dir, 1), ratings_load(spark, sf_dir, 2), ["tconst"])
 
 
+@register("bucketed_merge")
+def q_bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two rating loads merged into a stored table, bucket by bucket."""
+    from titleflow.plans.fixtures import ratings_load
+    from titleflow.session import shared_path
+    from titleflow.sources.buckets import merge_buckets, read_buckets
+
+    root = shared_path(spark, "bucketed")
+    for load in (1, 2):
+        merge_buckets(spark, ratings_load(spark, sf_dir, load), root, ["tconst"])
+    return read_buckets(spark, root)
+
+
+@register("catalog_publish")
+def q_catalog_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A snapshot table published in the catalog, merged, published again and read by name."""
+    import uuid
+
+    from titleflow.plans.fixtures import ratings_load
+    from titleflow.session import shared_path
+    from titleflow.sources.catalog import publish, read
+    from titleflow.sources.tables import create_or_merge
+
+    root, name = shared_path(spark, "published"), f"titleflow_bronze.ratings_{uuid.uuid4().hex[:12]}"
+    for load in (1, 2):
+        create_or_merge(spark, ratings_load(spark, sf_dir, load), root, ["tconst"])
+        publish(spark, name, root)
+    return read(spark, name)
+
+
 # ------------------------------------------------------------------ enrichment
 @register("parse_lookup_response")
 def q_parse_lookup_response(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,10 +197,11 @@ def _own_out(spark: SparkSession, sf_dir: str, base: DataFrame, g: DataFrame) ->
     return Fe.own_out_scores(base, Fe.name_index(s("name_basics")), s("title_principals"), s("title_crew"), s("title_ratings"), train)
 
 
-def _r6(df: DataFrame, *cols: str) -> DataFrame:
+def _r6(df: DataFrame, *cols: str, offset: float = 0.5) -> DataFrame:
     """Six decimals as ``floor(x * 1e6 + 0.5) / 1e6``: the same IEEE steps in
-    every engine, so exact ties round alike (``round`` differs on them)."""
-    q = lambda c: F.floor(F.col(c) * F.lit(1e6) + F.lit(0.5)) / F.lit(1e6)
+    every engine, so exact ties round alike (``round`` differs on them).
+    ``offset``: see ``OFF_TIES``."""
+    q = lambda c: F.floor(F.col(c) * F.lit(1e6) + F.lit(offset)) / F.lit(1e6)
     return df.select(*[q(c).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
@@ -202,7 +234,36 @@ def q_role_scores_own_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.operators.features import SCORE_COLS
 
     base = gold(spark, sf_dir).select("tconst", "actors", "directors", "writers")
-    return _r6(_own_out(spark, sf_dir, base, base).select("tconst", *SCORE_COLS), *SCORE_COLS)
+    return _r6(_own_out(spark, sf_dir, base, base).select("tconst", *SCORE_COLS), *SCORE_COLS, offset=OFF_TIES)
+
+
+@register("stored_lookups")
+def q_stored_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Role scores from the lookups stored beside a model, checked and read back."""
+    from titleflow.operators.features import SCORE_COLS, role_scores
+    from titleflow.operators.model import split_flag
+    from titleflow.plans.medallion import read_lookups, store_lookups
+    from titleflow.session import shared_path
+
+    base = gold(spark, sf_dir).select("tconst", "actors", "directors", "writers")
+    path = shared_path(spark, "model")
+    store_lookups(lambda n: silver(spark, sf_dir, n), base.where(~split_flag("tconst")).select("tconst"), path)
+    stats, idx, fill = read_lookups(spark, path)
+    return _r6(role_scores(base, idx, stats, fill).select("tconst", *SCORE_COLS), *SCORE_COLS, offset=OFF_TIES)
+
+
+@register("votes_log1p")
+def q_votes_log1p(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from titleflow.operators.features import votes_feature
+
+    ratings = silver(spark, sf_dir, "title_ratings").select("tconst", "numVotes")
+    return _r6(votes_feature(ratings, "numVotes"), "numVotes_log1p")
+
+
+@register("preview")
+def q_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ten gold rows by title id."""
+    return _render(gold(spark, sf_dir).orderBy("tconst").limit(10), "directors", "writers", "actors")
 
 
 @register("year_zscore")
@@ -306,7 +367,7 @@ def q_train_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.ml import PipelineModel
     from pyspark.ml.functions import vector_to_array
 
-    from titleflow.operators.features import NUMERIC_COLS
+    from titleflow.operators.features import NUMERIC_COLS, SCORE_COLS
     from titleflow.operators.model import TrainConfig, _prep_stages, train_test_split
 
     feats = _features(spark, sf_dir)
@@ -316,7 +377,8 @@ def q_train_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = PipelineModel(stages=stages).transform(feats).select("tconst", vector_to_array("features").alias("v"), "averageRating")
     numbers = [F.col("v")[i].alias(c) for i, c in enumerate(NUMERIC_COLS)]
     bits = F.array_join(F.slice("v", n + 1, n_genres).cast("array<int>"), "|").alias("genre_vector")
-    return _r6(made.select("tconst", *numbers, bits, F.size("v").alias("width"), "averageRating"), *NUMERIC_COLS)
+    scored = _r6(made.select("tconst", *numbers, bits, F.size("v").alias("width"), "averageRating"), *SCORE_COLS, offset=OFF_TIES)
+    return _r6(scored, "numVotes_log1p", "startYear_z")
 
 
 @register("score_titles")
@@ -429,6 +491,48 @@ def q_latest_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, root, "title.ratings")
 
 
+@register("flat_landing")
+def q_flat_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Extracts in the flat ``<date>/<name>.tsv`` layout; the newest date is read."""
+    from titleflow.plans.domain import bronze
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import read_landing, write_tsv
+
+    root, basics = shared_path(spark, "landing"), bronze(spark, sf_dir, "title_basics")
+    write_tsv(basics.where(F.col("genres").isNull()), f"{root}/2024-01-01/title.basics.tsv")
+    write_tsv(basics, f"{root}/2024-02-01/title.basics.tsv")
+    return read_landing(spark, root, "title.basics")
+
+
+@register("load_report")
+def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing to bronze where one extract is empty and one is missing: the rest
+    load, stamped with the load time; one row per extract."""
+    import datetime as dt
+
+    from titleflow.plans.domain import bronze
+    from titleflow.plans.fixtures import EXTRACTS
+    from titleflow.plans.medallion import landing_to_bronze
+    from titleflow.session import shared_path
+    from titleflow.sources.buckets import read_buckets
+    from titleflow.sources.landing import write_landing
+
+    root = shared_path(spark, "report")
+    stamp = dt.datetime(2024, 1, 1, 12)
+    wanted = {landed: EXTRACTS[landed] for landed in ("title.ratings", "title.crew", "title.episode", "name.basics")}
+    for landed in ("title.ratings", "title.episode", "name.basics"):
+        df = bronze(spark, sf_dir, wanted[landed])
+        write_landing(df.limit(0) if landed == "title.episode" else df, f"{root}/landing", landed, LOAD_DATE)
+    report = landing_to_bronze(spark, f"{root}/landing", f"{root}/bronze", wanted, load_time=stamp)
+    loaded = None
+    for landed in ("title.ratings", "name.basics"):
+        rows = read_buckets(spark, f"{root}/bronze/{wanted[landed]}").where(F.col("_processing_time") == F.lit(stamp))
+        own = rows.agg(F.count(F.lit(1)).alias("stamped")).select(F.lit(landed).alias("table"), "stamped")
+        loaded = own if loaded is None else loaded.unionByName(own)
+    empty = F.col("detail") == "empty extract, skipped"
+    return report.join(loaded, "table", "left").select("table", "status", empty.alias("empty"), "stamped")
+
+
 @register("derive_table_name")
 def q_derive_table_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land all seven extracts, scan them in one read and count rows per
