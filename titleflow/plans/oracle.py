@@ -804,3 +804,32 @@ UNION ALL SELECT 'title.episode', 'ok', true, NULL
 UNION ALL SELECT 'title.crew', 'failed', false, NULL
 """,
 )
+
+
+def _tree_sql(depth: int) -> str:
+    """A regression tree by trying every cut of every feature, level by level."""
+    parts = [
+        """tree_rows AS (SELECT tconst, CAST(round(averageRating * 1000000) AS BIGINT) AS y,
+  [coalesce(year, 0), coalesce(len(actors), 0), coalesce(len(directors), 0), coalesce(len(writers), 0),
+   len(string_split(coalesce(genres, ''), ','))] AS x FROM gold_prediction_input)""",
+        "level_0 AS (SELECT tconst, y, x, 1 AS node FROM tree_rows)",
+    ]
+    for d in range(depth):
+        parts += [
+            f"""seen_{d} AS (SELECT node, f, x[f + 1] AS v, count(y) AS w, sum(y)::BIGINT AS s, min(y) AS low, max(y) AS high
+  FROM level_{d}, (SELECT unnest(range(0, 5)) AS f) k WHERE y IS NOT NULL GROUP BY ALL)""",
+            f"""cuts_{d} AS (SELECT node, f, v, sum(w) OVER up AS wl, sum(s) OVER up AS sl, sum(w) OVER whole AS wt, sum(s) OVER whole AS st,
+    min(low) OVER whole AS low, max(high) OVER whole AS high FROM seen_{d}
+  WINDOW up AS (PARTITION BY node, f ORDER BY v), whole AS (PARTITION BY node, f))""",
+            f"""gains_{d} AS (SELECT node, f, v, st::DOUBLE * st::DOUBLE / wt::DOUBLE AS base,
+    sl::DOUBLE * sl::DOUBLE / wl::DOUBLE + (st - sl)::DOUBLE * (st - sl)::DOUBLE / (wt - wl)::DOUBLE AS gain
+  FROM cuts_{d} WHERE wl < wt AND low < high)""",
+            f"best_{d} AS (SELECT node, f, v FROM gains_{d} QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, v) = 1 AND gain > base)",
+            f"""level_{d + 1} AS (SELECT tconst, y, x, CASE WHEN b.node IS NULL THEN l.node ELSE 2 * l.node + (x[f + 1] > v)::INT END AS node
+  FROM level_{d} l LEFT JOIN best_{d} b ON l.node = b.node)""",
+        ]
+    parts.append(f"leaves AS (SELECT node, sum(y)::DOUBLE / count(y)::DOUBLE / 1000000 AS value FROM level_{depth} GROUP BY node)")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT tconst, value AS prediction FROM level_{depth} JOIN leaves USING (node)"
+
+
+query("forest_tree", f"SELECT * FROM ({_tree_sql(3)}) grown")

@@ -394,6 +394,24 @@ def q_score_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("tconst", "averageRating", F.col("prediction").between(low, high).alias("in_label_range"))
 
 
+@register("forest_tree")
+def q_forest_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One tree of three levels over counts and the year, without bagging:
+    grown by histograms at the top, in a task below, and applied to every title."""
+    from pyspark.ml.functions import array_to_vector
+
+    from titleflow.operators.forest import ForestConfig, fit_forest
+    from titleflow.operators.model import labelled
+
+    sizes = [F.coalesce(F.size(c), F.lit(0)) for c in ("actors", "directors", "writers")]
+    n_genres = F.size(F.split(F.coalesce("genres", F.lit("")), ","))
+    inputs = [F.greatest(x, F.lit(0)).cast("double") for x in (F.coalesce("year", F.lit(0)), *sizes, n_genres)]
+    rows = gold(spark, sf_dir).select("tconst", "averageRating", array_to_vector(F.array(*inputs)).alias("features")).checkpoint(eager=True)
+    cfg = ForestConfig(num_trees=1, max_depth=3, local_rows=200, bagging=False)
+    model = fit_forest(labelled(rows), "features", "averageRating", "tconst", cfg)
+    return model.transform(rows).select("tconst", "prediction")
+
+
 # ------------------------------------------------------------------ scenarios
 def _requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     from titleflow.plans.fixtures import scoring_requests
