@@ -660,11 +660,20 @@ LEFT JOIN (
 """,
 )
 query("score_titles", f"SELECT tconst, averageRating, true AS in_label_range FROM gold_prediction_input WHERE {SPLIT.format(k='tconst')}")
+#: The leading right singular vector by power iteration from the all-ones vector
+#: (weights are not negative, so it is not orthogonal to it); lengths are left alone until the end.
+SVD_STEPS = 24
+cte("svd_v0", "SELECT DISTINCT term, 1.0::DOUBLE AS x FROM plot_tfidf")
+for _step in range(SVD_STEPS):
+    cte(f"svd_u{_step}", f"SELECT t.tconst, sum(t.weight * v.x) AS x FROM plot_tfidf t JOIN svd_v{_step} v ON t.term = v.term GROUP BY t.tconst")
+    cte(f"svd_v{_step + 1}", f"SELECT t.term, sum(t.weight * u.x) AS x FROM plot_tfidf t JOIN svd_u{_step} u ON t.tconst = u.tconst GROUP BY t.term")
+cte("svd_first", f"SELECT term, x / sqrt((SELECT sum(x * x) FROM svd_v{SVD_STEPS})) AS x FROM svd_v{SVD_STEPS}")
 query(
     "svd_text",
-    """
-SELECT tconst, 64 AS width, tconst IN (SELECT tconst FROM plot_tfidf) AS has_terms, true AS within_norm
-FROM silver_title_plots
+    f"""
+SELECT p.tconst, 64 AS width, f.x IS NOT NULL AS has_terms, floor(coalesce(f.x, 0.0) * 1e4 + {OFF_TIES}) / 1e4 AS first_component, true AS within_norm
+FROM silver_title_plots p LEFT JOIN (
+  SELECT t.tconst, sum(t.weight * v.x) AS x FROM plot_tfidf t JOIN svd_first v ON t.term = v.term GROUP BY t.tconst) f ON p.tconst = f.tconst
 """,
 )
 

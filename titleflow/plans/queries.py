@@ -346,8 +346,9 @@ def q_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("svd_text")
 def q_svd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What SQL can tell of the projected rows: their width, which are zero
-    (plots without a vocabulary term), and that none is longer than its
-    TF-IDF row, which has length one."""
+    (plots without a vocabulary term), their first component (by power
+    iteration there), and that none is longer than its TF-IDF row, which has
+    length one."""
     from pyspark.ml.functions import vector_to_array
 
     from titleflow.operators import text as Tx
@@ -357,7 +358,11 @@ def q_svd_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     vecs = tm.transform(plots).select("tconst", "tfidf").checkpoint(eager=True)
     done = Tx.svd_project(vecs, Tx.fit_svd(vecs)).select("tconst", vector_to_array("svd").alias("svd"))
     norm = F.sqrt(F.aggregate("svd", F.lit(0.0), lambda acc, x: acc + x * x))
-    return done.select("tconst", F.size("svd").alias("width"), (norm > 0).alias("has_terms"), (norm <= 1 + 1e-9).alias("within_norm"))
+    # Four decimals: the randomised passes agree with the limit to about nine.
+    first = F.floor(F.coalesce(F.abs(F.get("svd", F.lit(0))), F.lit(0.0)) * 1e4 + OFF_TIES) / 1e4
+    return done.select(
+        "tconst", F.size("svd").alias("width"), (norm > 0).alias("has_terms"), first.alias("first_component"), (norm <= 1 + 1e-9).alias("within_norm")
+    )
 
 
 @register("train_features")
