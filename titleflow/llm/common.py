@@ -53,6 +53,14 @@ def materialise(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, with underscores before it until no column has it (Spark's names know no case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def remainder(doc_id: str, modulus: int) -> Column:
     """``crc32(doc_id as text) mod modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % modulus
@@ -94,7 +102,7 @@ def map_texts(
     Arrow array) per field.
     """
     bound_batches(df.sparkSession)
-    body = text if text in keep else "_text"  # a kept text travels once
+    body = text if text in keep else free_name(keep, "_text")  # a kept text travels once
     source = df.select(*[F.col(c) for c in keep], *([] if text in keep else [F.col(text).cast("string").alias(body)]))
     schema = T.StructType(
         [source.schema[c] for c in keep] + [T.StructField(n, T._parse_datatype_string(s)) for n, s, _ in fields]

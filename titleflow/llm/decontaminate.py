@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.llm.common import bound_batches, materialise, slices
+from titleflow.llm.common import bound_batches, free_name, materialise, slices
 
 WORDS = re.compile(r"[^\W_]+")
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -181,27 +181,30 @@ def with_leaks(
     min_coverage: float = 0.8,
     block_words: int = 2_000_000,
     keep: list[str] | None = None,
+    found: str = "_leaks",
 ) -> DataFrame:
-    """Columns ``keep`` (default: all) and ``_leaks``: array of (item_id, n_item_words, n_covered, n_tiles, longest)."""
+    """Columns ``keep`` (default: all) and ``found``, which ``keep`` must not hold: array of (item_id, n_item_words, n_covered, n_tiles, longest)."""
     bound_batches(docs.sparkSession)
     keep = docs.columns if keep is None else keep
-    out = docs.select(*{*keep, text}, F.array().cast(HIT.simpleString()).alias("_leaks"))
+    if free_name([*keep, text], found) != found:
+        raise ValueError(f"documents have a column {found}; name another in found")
+    out = docs.select(*dict.fromkeys([*keep, text]), F.array().cast(HIT.simpleString()).alias(found))
     for seeds, more in blocks(items, item_id, item_text, min_tile, block_words):
-        out = _scan_block(out, text, seeds, min_coverage)
+        out = _scan_block(out, text, seeds, min_coverage, found)
         if more:  # chained blocks would all be held by one task
             out = materialise(out, "tiled-documents")
-    return out.select(*keep, "_leaks")
+    return out.select(*keep, found)
 
 
-def _scan_block(docs: DataFrame, text: str, seeds: Seeds, min_coverage: float) -> DataFrame:
+def _scan_block(docs: DataFrame, text: str, seeds: Seeds, min_coverage: float, column: str) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(seeds)
-    others = [c for c in docs.columns if c != "_leaks"]
+    others = [c for c in docs.columns if c != column]
 
     def run(batches):
         own = shared.value
         for batch in batches:
             for part, texts in slices(batch, text):
-                found = [before + leaks(t.decode(), own, min_coverage) for t, before in zip(texts, part.column("_leaks").to_pylist())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(found, ARROW_HIT)], names=[*others, "_leaks"])
+                found = [before + leaks(t.decode(), own, min_coverage) for t, before in zip(texts, part.column(column).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in others), pa.array(found, ARROW_HIT)], names=[*others, column])
 
-    return docs.select(*others, "_leaks").mapInArrow(run, T.StructType([*(docs.schema[c] for c in others), T.StructField("_leaks", HIT)]))
+    return docs.select(*others, column).mapInArrow(run, T.StructType([*(docs.schema[c] for c in others), T.StructField(column, HIT)]))

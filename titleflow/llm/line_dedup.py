@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from titleflow.llm.common import bound_batches, materialise, slices
+from titleflow.llm.common import bound_batches, free_name, materialise, slices
 
 RUN_SCHEMA = "key binary, n_docs bigint"
 
@@ -112,15 +112,19 @@ def dedup_lines(
     min_key_chars: int = 1,
     n_batches: int = 4,
     fanout: int = 2,
+    counts: tuple[str, str] = ("_n_lines", "_n_dropped"),
 ) -> DataFrame:
     """``docs`` with ``text`` rid of lines whose key is in ``min_docs`` documents or more.
 
-    Adds ``_n_lines`` (before dropping) and ``_n_dropped``.  The documents are
+    Adds the lines before dropping and the dropped ones, in columns named by
+    ``counts``, which ``docs`` must not have.  The documents are
     added to the runs in ``n_batches`` batches (by hash of their text, so each
     row is in exactly one).  Rows meet their dropped keys by text hash: equal
     texts share one list, and only texts that lose a line have one.
     """
     spark = docs.sparkSession
+    if any(free_name(docs.columns, c) != c for c in counts):
+        raise ValueError(f"documents have a column {counts[0]} or {counts[1]}; name others in counts")
     bound_batches(spark)
     keys = materialise(_keys_of(docs, text, min_key_chars, n_batches), "line-keys", "batch")
     runs = LineRuns(spark, min_docs, fanout)
@@ -132,24 +136,24 @@ def dedup_lines(
     dropped = materialise(
         keys.join(frequent, "key", "left_semi")
         .groupBy("text_id")
-        .agg(F.collect_set("key").alias("_drop"))
-        .withColumnRenamed("text_id", "_tid"),
+        .agg(F.collect_set("key").alias("drop")),
         "dropped-lines",
     )
     columns = docs.columns
+    tid, own_body, own_drop = (free_name(columns, n) for n in ("_tid", "_body", "_drop"))
     body = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    tagged = docs.withColumn("_tid", F.unhex(F.md5(body.cast("binary")))).withColumn("_body", body)
-    joined = tagged.join(dropped, "_tid", "left").drop("_tid")
+    tagged = docs.withColumn(tid, F.unhex(F.md5(body.cast("binary")))).withColumn(own_body, body)
+    joined = tagged.join(dropped.select(F.col("text_id").alias(tid), F.col("drop").alias(own_drop)), tid, "left").drop(tid)
 
     others = [c for c in columns if c != text]
-    source = joined.select(*others, "_body", "_drop")
+    source = joined.select(*others, own_body, own_drop)
     fields = [source.schema[c] for c in others]
 
     def run(batches):
         for batch in batches:
-            for part, texts in slices(batch, "_body"):
+            for part, texts in slices(batch, own_body):
                 kept, n, d = [], [], []
-                for body, drop in zip(texts, part.column("_drop").to_pylist()):
+                for body, drop in zip(texts, part.column(own_drop).to_pylist()):
                     lines = body.split(b"\n")
                     n.append(len(lines))
                     if drop:
@@ -159,8 +163,8 @@ def dedup_lines(
                     kept.append(b"\n".join(lines).decode())
                 yield pa.RecordBatch.from_arrays(
                     [*(part.column(c) for c in others), pa.array(kept, pa.string()), pa.array(n, pa.int64()), pa.array(d, pa.int64())],
-                    names=[*others, text, "_n_lines", "_n_dropped"],
+                    names=[*others, text, *counts],
                 )
 
-    schema = T.StructType([*fields, T.StructField(text, T.StringType()), T.StructField("_n_lines", T.LongType()), T.StructField("_n_dropped", T.LongType())])
-    return source.mapInArrow(run, schema).select(*columns, "_n_lines", "_n_dropped")
+    schema = T.StructType([*fields, T.StructField(text, T.StringType()), *[T.StructField(c, T.LongType()) for c in counts]])
+    return source.mapInArrow(run, schema).select(*columns, *counts)

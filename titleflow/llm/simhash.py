@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titleflow.llm.common import map_texts, materialise
+from titleflow.llm.common import free_name, map_texts, materialise
 from titleflow.llm.graph import components
 
 SEED = 42
@@ -282,8 +282,10 @@ def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "t
     Of rows with the same id and text exactly one stays.
     """
     found = near_duplicates(docs, doc_id, text, width, max_bits)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"))).alias("first")
-    winners = materialise(found.groupBy("label").agg(first).select("first._id", "first._text_id"), "kept-documents")
-    own = F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary"))
-    stay = docs.withColumn("_own", own).join(winners, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.col("_own") == F.col("_text_id")), "left_semi")
-    return stay.dropDuplicates([doc_id, "_own"]).drop("_own")
+    own, kept_id, kept_text = (free_name(docs.columns, n) for n in ("_own", "_id", "_text_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col("text_id").alias("text_id"))).alias("first")
+    winners = found.groupBy("label").agg(first).select(F.col("first.id").alias(kept_id), F.col("first.text_id").alias(kept_text))
+    winners = materialise(winners, "kept-documents")
+    tagged = docs.withColumn(own, F.md5(F.coalesce(F.col(text), F.lit("")).cast("binary")))
+    stay = tagged.join(winners, F.col(doc_id).eqNullSafe(F.col(kept_id)) & (F.col(own) == F.col(kept_text)), "left_semi")
+    return stay.dropDuplicates([doc_id, own]).drop(own)

@@ -128,7 +128,7 @@ def listed(url_host: Column, url_path: Column, rules: list[tuple[str, str, str]]
 
 
 def judge(urls: DataFrame, labelled: DataFrame, fixed: list[tuple[str, str, str]], url: str = "url", **mining) -> DataFrame:
-    """``urls`` with host, path, rule, verdict and the mined rule's items and confidence.
+    """``urls`` with host, path, rule, verdict and the mined rule's items and confidence; columns of these names are replaced.
 
     ``labelled`` has columns (url, block).
     """
