@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from titleflow.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
-from titleflow.llm.common import materialise, table
+from titleflow.llm.common import free_name, materialise, table
 from titleflow.llm.queries import BPE_FILE
 
 
@@ -23,7 +23,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines found in ten documents or more go; ``n_chars`` is that of the text that is left."""
-    kept = line_dedup.dedup_lines(docs, min_docs=10).drop("_n_lines", "_n_dropped")
+    counts = free_name(docs.columns, "_n_lines"), free_name(docs.columns, "_n_dropped")
+    kept = line_dedup.dedup_lines(docs, min_docs=10, counts=counts).drop(*counts)
     return kept.withColumn("n_chars", F.char_length("text").cast("bigint"))
 
 
@@ -34,7 +35,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that cover a benchmark item go."""
-    return decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark")).where(F.size("_leaks") == 0).drop("_leaks")
+    found = free_name(docs.columns, "_leaks")
+    return decontaminate.with_leaks(docs, table(spark, sf_dir, "benchmark"), found=found).where(F.size(found) == 0).drop(found)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
