@@ -21,7 +21,7 @@ from titleflow.operators.clean import SPECS, apply_spec
 from titleflow.operators.enrich import has_plot, observed_coverage, parse_replies
 from titleflow.operators.sample import DEFAULT_TOTAL, sample_titles
 from titleflow.plans.fixtures import EXTRACTS
-from titleflow.sources.buckets import merge_buckets, read_buckets
+from titleflow.sources.buckets import merge_buckets
 from titleflow.sources.files import exists
 from titleflow.sources.landing import latest_load_date, read_landing, with_load_time
 from titleflow.sources.tables import read_table
@@ -105,9 +105,7 @@ def bronze_to_silver(spark: SparkSession, bronze_root: str, silver_root: str, ta
     """Clean every bronze table into silver (overwrite)."""
 
     def step(table: str) -> str:
-        root = f"{bronze_root}/{table}"
-        df = read_buckets(spark, root)
-        df = read_table(spark, root) if df is None else df  # the streaming ingest keeps snapshots
+        df = read_table(spark, f"{bronze_root}/{table}")
         if df is None:
             raise FileNotFoundError(f"no bronze table for {table}")
         apply_spec(df, SPECS[table]).write.mode("overwrite").parquet(f"{silver_root}/{table}")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from titleflow.operators.upsert import merge_frames
+from titleflow.sources.buckets import read_buckets
 from titleflow.sources.files import children, touch
 
 VERSION = "tf_snapshot"  # prefix of snapshot folders
@@ -46,9 +47,10 @@ def versions(spark: SparkSession, root: str) -> list[int]:
 
 
 def read_table(spark: SparkSession, root: str, version: int | None = None) -> DataFrame | None:
+    """A snapshot (the newest by default), or the rows of a bucketed table."""
     vs = versions(spark, root)
     if not vs:
-        return None
+        return read_buckets(spark, root)
     return spark.read.parquet(snapshot_path(root, vs[-1] if version is None else version))
 
 
