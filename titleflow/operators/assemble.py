@@ -102,7 +102,19 @@ def assemble_gold(
     """
     keys = plots.select("tconst").distinct()
     long = people_long(principals, crew).join(keys, "tconst", "left_semi")
-    lists = people_lists(name_people(long, names))
+    return _assemble(plots, keys, basics, ratings, name_people(long, names))
+
+
+def assemble_named(plots: DataFrame, basics: DataFrame, ratings: DataFrame, named: DataFrame) -> DataFrame:
+    """:func:`assemble_gold` over credits that are named already (a stored
+    layer): every join and aggregation is on tconst, so tables bucketed by it
+    need no exchange."""
+    keys = plots.select("tconst").distinct()
+    return _assemble(plots, keys, basics, ratings, named.join(keys, "tconst", "left_semi"))
+
+
+def _assemble(plots: DataFrame, keys: DataFrame, basics: DataFrame, ratings: DataFrame, named: DataFrame) -> DataFrame:
+    lists = people_lists(named)
     b = basics.select("tconst", "primaryTitle", "startYear", "genres")
     r = ratings.select("tconst", "averageRating")
     # Everything but the plot text is assembled first (narrow rows keyed by

@@ -786,6 +786,7 @@ query(
 )
 SQL["export_json"] = SQL["assemble_gold"]
 SQL["landing_stream_ingest"] = SQL["upsert"]
+SQL["gold_from_buckets"] = SQL["assemble_gold"]
 SQL["bucketed_merge"] = SQL["upsert"]
 SQL["catalog_publish"] = SQL["upsert"]
 SQL["flat_landing"] = SQL["tsv_roundtrip"]

@@ -36,6 +36,19 @@ def q_assemble_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _render(gold(spark, sf_dir), "directors", "writers", "actors")
 
 
+@register("gold_from_buckets")
+def q_gold_from_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold over silver tables stored in buckets of their join keys."""
+    import uuid
+
+    from titleflow.plans.bucketed import gold_from, store_silver
+    from titleflow.session import shared_path
+
+    schema = f"titleflow_silver_{uuid.uuid4().hex[:12]}"
+    store_silver(spark, schema, lambda n: silver(spark, sf_dir, n), shared_path(spark, "bucketed-silver"))
+    return _render(gold_from(spark, schema), "directors", "writers", "actors")
+
+
 @register("people_list")
 def q_people_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = A.actor_lists(silver(spark, sf_dir, "title_principals"), silver(spark, sf_dir, "name_basics"))
