@@ -8,6 +8,7 @@ from titleflow.sources.landing import (
     latest_load_date,
     read_landing,
     read_tsv,
+    split_landing,
     table_name,
     write_landing,
 )
@@ -142,3 +143,34 @@ def test_silver_to_gold_job(spark, scratch):
     gold = spark.read.parquet(f"{scratch}/gold")
     assert gold.count() == silver(spark, sf, "title_plots").count()
     assert gold.columns == ["tconst", "title", "plot", "year", "genres", "averageRating", "directors", "writers", "actors"]
+
+
+def test_one_gzip_file_is_split_once(spark, scratch):
+    import gzip
+
+    os.makedirs(f"{scratch}/2024-03-01")
+    with gzip.open(f"{scratch}/2024-03-01/x.tsv.gz", "wt") as f:
+        f.write("id\tv\n" + "".join(f"{i}\t{'' if i % 7 == 0 else i}\n" for i in range(1000)))
+    assert read_landing(spark, scratch, "x").rdd.getNumPartitions() == 1
+    split_landing(spark, scratch, "x", f"{scratch}/out", rows_per_file=100)
+    again = read_landing(spark, f"{scratch}/out", "x")
+    assert len(again.inputFiles()) == 10
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, read_landing(spark, scratch, "x").collect()))
+    with pytest.raises(ValueError, match="onto itself"):
+        split_landing(spark, f"{scratch}/out", "x", f"{scratch}/out")
+
+
+def test_json_array_documents(spark, scratch):
+    import glob
+    import json
+
+    from titleflow.sources.tables import export_json_array, read_json_array
+
+    df = spark.createDataFrame([(1, 'a "q"\n\u00e9', ["x", None]), (2, None, None), (3, "", [])], "id int, t string, l array<string>")
+    for single, frame in ((True, df), (False, df.repartition(2)), (True, df.where("id > 9"))):
+        export_json_array(frame, f"{scratch}/array", single=single)
+        parts = [json.load(open(p, encoding="utf-8")) for p in glob.glob(f"{scratch}/array/part-*")]
+        assert not single or len(parts) == 1
+        rows = sorted(map(tuple, (r.values() for part in parts for r in part)))
+        assert rows == sorted((r.id, r.t, r.l) for r in frame.collect())
+        assert sorted(read_json_array(spark, f"{scratch}/array", df.schema).collect()) == sorted(frame.collect())

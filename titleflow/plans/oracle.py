@@ -785,6 +785,8 @@ query(
     ),
 )
 SQL["export_json"] = SQL["assemble_gold"]
+SQL["export_json_array"] = SQL["assemble_gold"]
+SQL["split_landing"] = SQL["tsv_roundtrip"]
 SQL["landing_stream_ingest"] = SQL["upsert"]
 SQL["gold_from_buckets"] = SQL["assemble_gold"]
 SQL["bucketed_merge"] = SQL["upsert"]

@@ -540,6 +540,19 @@ def q_flat_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_landing(spark, root, "title.basics")
 
 
+@register("split_landing")
+def q_split_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A flat extract re-landed as files of bounded size, then read from those."""
+    from titleflow.plans.domain import bronze
+    from titleflow.session import shared_path
+    from titleflow.sources.landing import read_landing, split_landing, write_tsv
+
+    root, out = shared_path(spark, "landing"), shared_path(spark, "landing-split")
+    write_tsv(bronze(spark, sf_dir, "title_basics"), f"{root}/{LOAD_DATE}/title.basics.tsv")
+    split_landing(spark, root, "title.basics", out)
+    return read_landing(spark, out, "title.basics")
+
+
 @register("load_report")
 def q_load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landing to bronze where one extract is empty and one is missing: the rest
@@ -599,6 +612,18 @@ def q_export_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _render(read_json(spark, path, g.schema), "directors", "writers", "actors")
 
 
+@register("export_json_array")
+def q_export_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the gold table as JSON array documents and read them back typed."""
+    from titleflow.session import shared_path
+    from titleflow.sources.tables import export_json_array, read_json_array
+
+    g = gold(spark, sf_dir)
+    path = shared_path(spark, "export", "prediction_input_array")
+    export_json_array(g, path)
+    return _render(read_json_array(spark, path, g.schema), "directors", "writers", "actors")
+
+
 @register("landing_stream_ingest")
 def q_landing_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two rating extracts land; one streaming ingest (availableNow) merges

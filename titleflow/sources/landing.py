@@ -31,6 +31,7 @@ TSV_READ = {**_EXACT, "mode": "PERMISSIVE"}
 TSV_WRITE = {**_EXACT, "escapeQuotes": "false", "compression": "gzip", "nullValue": "", "emptyValue": ""}
 EMPTY = "\u2400"
 PARTITION = "load_date"
+ROWS_PER_FILE = 1_000_000
 _DATE = re.compile(r"\d{4}-\d{2}-\d{2}")
 _DATE_DIR = re.compile(rf"{PARTITION}=({_DATE.pattern})")
 
@@ -61,10 +62,11 @@ def _encoded(df: DataFrame) -> DataFrame:
     return df.withColumns(texts) if texts else df
 
 
-def write_tsv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite") -> None:
-    """Gzip TSV, one file per partition of ``df``.  With ``partition_by`` only
-    the folders that ``df`` has rows for are replaced."""
-    w = _encoded(df).write.mode(mode).options(**TSV_WRITE)
+def write_tsv(df: DataFrame, path: str, partition_by: str | None = None, mode: str = "overwrite", rows_per_file: int = 0) -> None:
+    """Gzip TSV, one file per partition of ``df`` (more where one has over
+    ``rows_per_file`` rows).  With ``partition_by`` only the folders that
+    ``df`` has rows for are replaced."""
+    w = _encoded(df).write.mode(mode).options(**TSV_WRITE).option("maxRecordsPerFile", rows_per_file)
     if partition_by:
         w = w.partitionBy(partition_by).option("partitionOverwriteMode", "dynamic")
     w.csv(path)
@@ -132,6 +134,22 @@ def read_landing(spark: SparkSession, root: str, name: str, load_date: str | Non
     return read_tsv(spark, path)
 
 
+def split_landing(spark: SparkSession, root: str, name: str, out_root: str, load_date: str | None = None, rows_per_file: int = ROWS_PER_FILE) -> str:
+    """Re-land one day's extract as files of ``rows_per_file`` rows at most.
+
+    Gzip cannot be split, so an extract that arrives as one large file is read
+    by one task, whoever reads it.  Here that task reads it once, as a stream
+    and without a shuffle, and begins a new file (with its own header) every
+    ``rows_per_file`` rows; all later reads are spread over the cluster.
+    """
+    day = load_date or latest_load_date(spark, root)
+    path = f"{landing_path(out_root, name)}/{PARTITION}={day}"
+    if root.rstrip("/") == out_root.rstrip("/") and landed_at(spark, root, name, day) == path:
+        raise ValueError(f"extract {name} of {day} cannot be split onto itself; name another out_root")
+    write_tsv(read_landing(spark, root, name, day), path, rows_per_file=rows_per_file)
+    return path
+
+
 def table_name(path: Column | None = None) -> Column:
     """Table name from a landed file's path: the extract's base name
     without ``.tsv`` / ``.tsv.gz``, dots turned into underscores

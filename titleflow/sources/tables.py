@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,5 +92,33 @@ def export_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def export_json_array(df: DataFrame, path: str, single: bool = False) -> None:
+    """JSON array documents: every part file is one array of row objects.
+
+    ``single`` writes one document, as a small export wants it; its one task
+    streams the rows and never holds them.  NULLs and text as in
+    :func:`export_json`; a table without rows is an empty array.
+    """
+    rows = df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    if single:
+        rows = rows.repartition(1)
+
+    def document(batches):
+        before = "["
+        for batch in batches:
+            lines = batch.column("value").to_pylist()
+            if lines:
+                yield pa.RecordBatch.from_arrays([pa.array([before + lines[0], *["," + x for x in lines[1:]]], pa.string())], names=["value"])
+                before = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if before == "[" else "]"], pa.string())], names=["value"])
+
+    rows.mapInArrow(document, "value string").write.mode("overwrite").text(path)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of JSON array documents; a document is one record to Spark, so one task reads it."""
+    return spark.read.schema(schema).option("multiLine", "true").json(path)
+
+
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
