@@ -31,7 +31,7 @@ def rules_sql(source: str) -> str:
     """CTEs ending in ``judged(rid, counts, base_failed, kept)`` over ``source(rid, text, lang, source)``."""
     sub, bits = rules.SUB, rules.SUB_BITS
     features = {
-        "f_symbol": ("n_symbols", "n_words"),
+        "f_marks": ("n_marks", "n_words"),
         "f_dup_line": ("n_dup_lines", "n_lines"),
         "f_repeat": ("n_repeat_words", "n_words"),
         "f_upper": ("n_upper", "word_chars"),
@@ -39,17 +39,20 @@ def rules_sql(source: str) -> str:
     }
     made = ", ".join(f"CASE WHEN {b} > 0 THEN 1000 * {a} // {b} ELSE 0 END AS {f}" for f, (a, b) in features.items())
     long = " UNION ALL ".join(f"SELECT lang, source, '{f}' AS feature, {f} AS v FROM featured" for f in features)
-    margin = "CASE feature " + " ".join(f"WHEN '{f}' THEN {m}" for f, (m, _) in rules.FEATURES.items()) + " END"
+    marks = rules.MARKS.replace("'", "''")
 
-    def quart(src: str, group: str) -> str:
+    def by_feature(part: str) -> str:
+        return "CASE feature " + " ".join(f"WHEN '{f}' THEN {getattr(fence, part)}" for f, fence in rules.FEATURES.items()) + " END"
+
+    def quantiles(src: str, group: str) -> str:
         keys = f"{group}feature"
-        return f"""SELECT {keys}, max(total) AS total, min(top) FILTER (WHERE upto * 4 >= total) AS q25, min(top) FILTER (WHERE upto * 4 >= total * 3) AS q75
+        return f"""SELECT {keys}, max(total) AS total, min(top) FILTER (WHERE upto * 100 >= total * {by_feature("low")}) AS low, min(top) FILTER (WHERE upto * 100 >= total * {by_feature("high")}) AS high
   FROM (SELECT {keys}, n, (((b - e * {sub} + 1) << e) - 1) AS top, sum(n) OVER (PARTITION BY {keys} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {keys}) AS total
     FROM (SELECT {keys}, b, n, greatest(b // {sub} - 1, 0) AS e FROM {src})) GROUP BY {keys}"""
 
     outlier = " OR ".join(
-        f"({f} > {f}_hi)" + (f" OR ({f} < {f}_lo)" if low else "")
-        for f, (_, low) in rules.FEATURES.items()
+        f"({f} > {f}_hi)" + (f" OR ({f} < {f}_lo)" if fence.both else "")
+        for f, fence in rules.FEATURES.items()
     )
     wide = ", ".join(f"max(hi) FILTER (WHERE feature = '{f}') AS {f}_hi, max(lo) FILTER (WHERE feature = '{f}') AS {f}_lo" for f in features)
     return rf"""
@@ -62,18 +65,20 @@ line_copies AS (SELECT rid, sum(n - 1) AS n_dup_lines FROM (SELECT rid, line, co
   WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY rid, line) GROUP BY rid),
 counted AS (SELECT w.rid, lang, source, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
   length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
-  coalesce(n_repeat_words, 0) AS n_repeat_words, len(ls) AS n_lines, length(t) - length(translate(t, '{UPPER}', '')) AS n_upper
+  coalesce(n_repeat_words, 0) AS n_repeat_words, len(ls) AS n_lines, length(t) - length(translate(t, '{UPPER}', '')) AS n_upper,
+  length(t) - length(translate(t, '{marks}', '')) AS n_marks
   FROM worded w LEFT JOIN repeated USING (rid) LEFT JOIN line_copies USING (rid)),
 featured AS (SELECT *, {made} FROM counted),
 long_features AS ({long}),
 bucketed AS (SELECT lang, source, feature, (e * {sub} + (v >> e)) AS b, count(*) AS n
   FROM (SELECT *, greatest(length(bin(v)) - {bits + 1}, 0) AS e FROM long_features) GROUP BY ALL),
 corpus_bucketed AS (SELECT feature, b, sum(n) AS n FROM bucketed GROUP BY feature, b),
-own_q AS ({quart("bucketed", "lang, source, ")}),
-all_q AS ({quart("corpus_bucketed", "")}),
-fence AS (SELECT lang, source, feature, q25 - greatest(({rules.SPREAD} * (q75 - q25)), {margin}) AS lo, q75 + greatest(({rules.SPREAD} * (q75 - q25)), {margin}) AS hi
-  FROM (SELECT o.lang, o.source, o.feature, CASE WHEN o.total < {rules.MIN_GROUP} THEN a.q25 ELSE o.q25 END AS q25,
-    CASE WHEN o.total < {rules.MIN_GROUP} THEN a.q75 ELSE o.q75 END AS q75 FROM own_q o JOIN all_q a USING (feature))),
+own_q AS ({quantiles("bucketed", "lang, source, ")}),
+all_q AS ({quantiles("corpus_bucketed", "")}),
+drawn AS (SELECT o.lang, o.source, feature, (o.total * o.low + {rules.PRIOR} * a.low) // (o.total + {rules.PRIOR}) AS low,
+  (o.total * o.high + {rules.PRIOR} * a.high) // (o.total + {rules.PRIOR}) AS high FROM own_q o JOIN all_q a USING (feature)),
+fence AS (SELECT lang, source, feature, low - gap AS lo, high + gap AS hi
+  FROM (SELECT *, greatest((high - low) * {by_feature("spread")}, {by_feature("floor")}) AS gap FROM drawn)),
 fence_row AS (SELECT lang, source, {wide} FROM fence GROUP BY lang, source),
 based AS (SELECT f.*, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEAT_PCT} * n_words AS base_failed FROM featured f),
 judged AS (SELECT b.*, NOT base_failed AND NOT ({outlier}) AS kept

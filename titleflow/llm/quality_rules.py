@@ -1,17 +1,22 @@
 """Quality rules with adaptive thresholds.
 
 Fixed cutoffs are replaced by outlier fences that each (language, source)
-group sets itself: quartiles of every feature come from a mergeable quantile
-sketch, and a document fails when a feature lies beyond
-``q75 + max(spread * (q75 - q25), margin)`` (for word length also below the
-mirrored fence).  A margin keeps ordinary variation in very even groups.
+group sets itself: two quantiles of every feature, ``low`` and ``high``, come
+from a mergeable quantile sketch, and a document fails when a feature lies
+beyond ``high + max(spread * (high - low), floor)`` (for word length also
+below the mirrored fence).  Features that vary in any text take the quartiles;
+repetition, which most texts have none of, takes the median and the upper
+tenth; repeated lines the upper tenth and hundredth.  ``floor`` only allows
+for the rounding of the sketch.
 
 The sketch is a log-linear histogram over whole numbers: a value below
 ``2 * SUB`` is its own bucket, above that each power of two is cut in ``SUB``
 buckets, so a quantile is off by at most 1/SUB of its value.  Two sketches
 merge by adding their counts; Spark therefore builds them map-side and a hot
-source costs one small row per bucket and task.  Groups of fewer than
-``min_group`` documents take the fences of the merged (whole-corpus) sketch.
+source costs one small row per bucket and task.  A group's quantiles are drawn
+to those of the merged (whole-corpus) sketch as if ``prior`` documents of the
+corpus were among its own: a small group leans on the corpus, a large one
+hardly, and no size makes a jump.
 
 Features are whole numbers in thousandths, so every engine gets the same
 values.  Cases: a null or empty text has no words (base_failed); null lang or
@@ -21,6 +26,8 @@ through ``apply_rules``.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,22 +37,31 @@ from pyspark.sql.window import Window
 from titleflow.llm.common import map_texts, materialise
 
 SYMBOLS = b"#*$%&|<>"
+#: ASCII punctuation and symbols.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 SUB_BITS = 5
 SUB = 1 << SUB_BITS
 
-#: feature -> (least distance of a fence from the quartile, in thousandths; fence on the low side too)
-FEATURES: dict[str, tuple[int, bool]] = {
-    "f_symbol": (100, False),  # symbols per word
-    "f_dup_line": (500, False),  # lines equal to an earlier one
-    "f_repeat": (400, False),  # words in repeated three-word windows
-    "f_upper": (150, False),  # A-Z per word character
-    "f_word_len": (2500, True),  # code points per word
+class Fence(NamedTuple):
+    low: int  # the two quantiles, in hundredths
+    high: int
+    spread: int
+    floor: int  # least distance of a fence from its quantile, in thousandths
+    both: bool = False  # a fence on the low side too
+
+
+FEATURES: dict[str, Fence] = {
+    "f_marks": Fence(25, 75, 4, 20),  # ASCII punctuation and symbols per word
+    "f_dup_line": Fence(90, 99, 1, 50),  # lines equal to an earlier one
+    "f_repeat": Fence(50, 90, 8, 50),  # words in repeated three-word windows
+    "f_upper": Fence(25, 75, 12, 20),  # A-Z per word character
+    "f_word_len": Fence(25, 75, 4, 200, both=True),  # code points per word
 }
-SPREAD = 3
-MIN_GROUP = 30
+PRIOR = 100
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
+_MARKS = MARKS.encode()
 _UPPER = bytes(range(65, 91))
 _CONTINUATION = bytes(range(0x80, 0xC0))
 
@@ -89,10 +105,11 @@ def _text_stats(text: bytes) -> tuple[int, ...]:
     chars = len(joined) - len(joined.translate(None, bytes(set(range(256)) - set(_CONTINUATION)))) if joined else 0
     n_upper = len(joined) - len(joined.translate(None, _UPPER))
     n_symbols = len(text) - len(text.translate(None, SYMBOLS))
-    return len(words), chars, n_symbols, dup, repeated_window_words(words), lines, n_upper
+    n_marks = len(text) - len(text.translate(None, _MARKS))
+    return len(words), chars, n_symbols, dup, repeated_window_words(words), lines, n_upper, n_marks
 
 
-STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper"]
+STATS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_marks"]
 
 
 def text_stats(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
@@ -112,7 +129,7 @@ def with_features(stats: DataFrame) -> DataFrame:
 
     return stats.withColumns(
         {
-            "f_symbol": per("n_symbols", "n_words"),
+            "f_marks": per("n_marks", "n_words"),
             "f_dup_line": per("n_dup_lines", "n_lines"),
             "f_repeat": per("n_repeat_words", "n_words"),
             "f_upper": per("n_upper", "word_chars"),
@@ -146,27 +163,27 @@ def merge(sketches: DataFrame, group: list[str]) -> DataFrame:
     return sketches.groupBy(*group, "feature", "bucket").agg(F.sum("n").alias("n"))
 
 
-def quartiles(sketches: DataFrame, group: list[str]) -> DataFrame:
-    """(group, feature, total, q25, q75): the top of the bucket where a quarter (three) is reached."""
+def by_feature(part: str) -> Column:
+    """A field of each feature's ``Fence``, looked up by the column ``feature``."""
+    return F.create_map(*[x for f, fence in FEATURES.items() for x in (F.lit(f), F.lit(getattr(fence, part)).cast("bigint"))])[F.col("feature")]
+
+
+def quantiles(sketches: DataFrame, group: list[str]) -> DataFrame:
+    """(group, feature, total, low, high): the top of the bucket where each of the feature's two quantiles is reached."""
     per = Window.partitionBy(*group, "feature")
     running = per.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     at = sketches.withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(per), "top": bucket_top(F.col("bucket"))})
-    return at.groupBy(*group, "feature").agg(
-        F.max("total").alias("total"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total"), F.col("top"))).alias("q25"),
-        F.min(F.when(F.col("upto") * 4 >= F.col("total") * 3, F.col("top"))).alias("q75"),
-    )
+    reached = lambda part: F.min(F.when(F.col("upto") * 100 >= F.col("total") * by_feature(part), F.col("top")))
+    return at.groupBy(*group, "feature").agg(F.max("total").alias("total"), reached("low").alias("low"), reached("high").alias("high"))
 
 
-def fences(sketches: DataFrame, group: list[str], min_group: int = MIN_GROUP) -> DataFrame:
+def fences(sketches: DataFrame, group: list[str], prior: int = PRIOR) -> DataFrame:
     """One row per group with ``<feature>_lo`` and ``<feature>_hi``."""
-    corpus = quartiles(merge(sketches, []), []).select("feature", F.col("q25").alias("a25"), F.col("q75").alias("a75"))
-    own = quartiles(sketches, group).join(corpus, "feature")
-    q25 = F.when(F.col("total") < min_group, F.col("a25")).otherwise(F.col("q25"))
-    q75 = F.when(F.col("total") < min_group, F.col("a75")).otherwise(F.col("q75"))
-    margin = F.create_map(*[x for f, (m, _) in FEATURES.items() for x in (F.lit(f), F.lit(m).cast("bigint"))])
-    gap = F.greatest((q75 - q25) * SPREAD, margin[F.col("feature")])
-    wide = own.select(*group, "feature", (q25 - gap).alias("lo"), (q75 + gap).alias("hi"))
+    corpus = quantiles(merge(sketches, []), []).select("feature", F.col("low").alias("c_low"), F.col("high").alias("c_high"))
+    drawn = lambda q: F.expr(f"(total * {q} + {prior} * c_{q}) div (total + {prior})")
+    own = quantiles(sketches, group).join(corpus, "feature").withColumns({"low": drawn("low"), "high": drawn("high")})
+    gap = F.greatest((F.col("high") - F.col("low")) * by_feature("spread"), by_feature("floor"))
+    wide = own.select(*group, "feature", (F.col("low") - gap).alias("lo"), (F.col("high") + gap).alias("hi"))
     picks = [F.max(F.when(F.col("feature") == f, F.col(side))).alias(f"{f}_{side}") for f in FEATURES for side in ("lo", "hi")]
     return wide.groupBy(*group).agg(*picks)
 
@@ -192,9 +209,9 @@ def _judge(stats: DataFrame, limits: DataFrame) -> DataFrame:
     joined = stats.join(limits, F.col("g_lang").eqNullSafe(F.col("l_lang")) & F.col("g_source").eqNullSafe(F.col("l_source")), "left")
     base_failed = (F.col("n_words") < MIN_WORDS) | (F.col("n_repeat_words") * 100 > F.col("n_words") * MAX_REPEAT_PCT)
     outlier = F.lit(False)
-    for f, (_, low) in FEATURES.items():
+    for f, fence in FEATURES.items():
         outlier = outlier | (F.col(f) > F.col(f"{f}_hi"))
-        if low:
+        if fence.both:
             outlier = outlier | (F.col(f) < F.col(f"{f}_lo"))
     return joined.withColumn("base_failed", base_failed).withColumn("kept", ~base_failed & ~outlier)
 
