@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -117,6 +118,27 @@ def test_tiles_equal_naive_tiling():
         assert sorted(decontaminate.tile(pairs, 3)) == naive_tiles(doc, item, 3)
 
 
+def test_tiles_do_not_depend_on_the_slices_of_hits(monkeypatch):
+    draw = random.Random(14)
+    for _ in range(100):
+        item, doc = (" ".join(draw.choice("ab") for _ in range(draw.randint(3, n))) for n in (14, 25))
+        seeds = decontaminate.Seeds([(1, item), (2, item + " a b a")], 3)
+        whole = {k: v.tolist() for k, v in seeds.joined(doc).items()}
+        for pairs in (1, 2, 7):
+            with monkeypatch.context() as m:
+                m.setattr(decontaminate, "PAIRS", pairs)
+                assert {k: v.tolist() for k, v in seeds.joined(doc).items()} == whole
+
+
+def test_one_word_repeated_is_tiled_in_linear_time():
+    seeds = decontaminate.Seeds([(1, "ha " * 200), (2, "ha ho " * 100)], 5)
+    start = time.perf_counter()
+    found = decontaminate.leaks("ha " * 60_000, seeds, 0.8)
+    assert [(r["item_id"], r["n_covered"], r["n_tiles"]) for r in found] == [(1, 200, 1)]
+    assert [r["item_id"] for r in decontaminate.leaks("ha ho " * 30_000, seeds, 0.8)] == [2]
+    assert time.perf_counter() - start < 30
+
+
 @pytest.mark.parametrize("block_words", [2_000_000, 30])
 def test_reordered_and_edited_passages_are_caught(make_docs, spark, none, edge, block_words):
     w = [f"word{i}" for i in range(30)]
