@@ -268,7 +268,7 @@ def test_lm_equals_brute_force(make_docs, none, monkeypatch, bucket_keys, score_
         total = 0.0
         for h, w in zip([lm.END, *t], t):
             c = uni[h]
-            l2, l1, l0 = learned["w"].get(int(lm.context_bucket(np.array([c]))[0]), lm.PRIOR)
+            l2, l1, l0 = lm.by_bucket(learned["w"])[int(lm.context_bucket(np.array([c]))[0])]
             total += math.log10(l2 * (pair[h, w] / c if c else 0) + l1 * uni[w] / n + l0 / (v + 1))
         assert r["score"] == pytest.approx(total)
     assert lm.score(none, F.lit(lm.KEPT)).count() == 0
@@ -280,6 +280,13 @@ def test_lm_weights_follow_the_better_estimate():
     assert weights[3][0] > 0.95 and weights[9][1] > 0.95 and all(abs(sum(w) - 1) < 1e-9 for w in weights.values())
 
 
+def test_lm_buckets_without_weights_take_the_nearest():
+    a, b = (0.7, 0.2, 0.1), (0.8, 0.1, 0.1)
+    got = lm.by_bucket({3: a, 6: b}, 9)
+    assert got == [lm.PRIOR, a, a, a, a, a, b, b, b]
+    assert lm.by_bucket({0: a}, 3) == [a, lm.PRIOR, lm.PRIOR]
+
+
 def test_lm_without_training(edge):
     rows = lm.score(edge, F.lit(lm.TEST)).collect()
     assert len(rows) == len(EDGE) and all(math.isfinite(r["score"]) for r in rows)

@@ -251,6 +251,18 @@ def learn_weights(cells: list[tuple[int, int, int, int]], uniform: float, rounds
     return out
 
 
+def by_bucket(learned: dict[int, tuple[float, float, float]], size: int = 64) -> list[tuple[float, float, float]]:
+    """Weights of every context bucket.  One that no held-out event reached takes
+    those of the nearest learned bucket of rarer contexts, or else of the nearest
+    of more frequent ones; unseen contexts (bucket 0) share with no other."""
+    seen = sorted(b for b in learned if b > 0)
+    out = [learned.get(0, PRIOR)]
+    for b in range(1, size):
+        below = [x for x in seen if x <= b]
+        out.append(learned[below[-1] if below else seen[0]] if seen else PRIOR)
+    return out
+
+
 def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, part, n_tokens, n_known, train_tokens, base_score, score.
 
@@ -286,7 +298,7 @@ def score(docs: DataFrame, part, doc_id: str = "doc_id", text: str = "text") ->
     held_out = meet(stored.drop("doc_ids").where(F.col("part") == HELD), asked.where(F.col("part") == HELD).select("chunk", "kind", "bucket", "kept"))
     cells = held_out.applyInArrow(held_cells, "b bigint, q2 bigint, q1 bigint, n bigint").groupBy("b", "q2", "q1").agg(F.sum("n").alias("n"))
     learned = learn_weights([tuple(r) for r in cells.collect()], uniform)
-    weights = np.array([learned.get(b, PRIOR) for b in range(64)])
+    weights = np.array(by_bucket(learned))
 
     def scored(rows: pa.Table, counts: pa.Table) -> pa.Table:
         out = []
