@@ -44,11 +44,8 @@ def rules_sql(source: str) -> str:
     def by_feature(part: str) -> str:
         return "CASE feature " + " ".join(f"WHEN '{f}' THEN {getattr(fence, part)}" for f, fence in rules.FEATURES.items()) + " END"
 
-    def quantiles(src: str, group: str) -> str:
-        keys = f"{group}feature"
-        return f"""SELECT {keys}, max(total) AS total, min(top) FILTER (WHERE upto * 100 >= total * {by_feature("low")}) AS low, min(top) FILTER (WHERE upto * 100 >= total * {by_feature("high")}) AS high
-  FROM (SELECT {keys}, n, (((b - e * {sub} + 1) << e) - 1) AS top, sum(n) OVER (PARTITION BY {keys} ORDER BY b) AS upto, sum(n) OVER (PARTITION BY {keys}) AS total
-    FROM (SELECT {keys}, b, n, greatest(b // {sub} - 1, 0) AS e FROM {src})) GROUP BY {keys}"""
+    tops = f"(((b - e * {sub} + 1) << e) - 1)"
+    per = "OVER (PARTITION BY lang, source, feature"
 
     outlier = " OR ".join(
         f"({f} > {f}_hi)" + (f" OR ({f} < {f}_lo)" if fence.both else "")
@@ -73,10 +70,15 @@ long_features AS ({long}),
 bucketed AS (SELECT lang, source, feature, (e * {sub} + (v >> e)) AS b, count(*) AS n
   FROM (SELECT *, greatest(length(bin(v)) - {bits + 1}, 0) AS e FROM long_features) GROUP BY ALL),
 corpus_bucketed AS (SELECT feature, b, sum(n) AS n FROM bucketed GROUP BY feature, b),
-own_q AS ({quantiles("bucketed", "lang, source, ")}),
-all_q AS ({quantiles("corpus_bucketed", "")}),
-drawn AS (SELECT o.lang, o.source, feature, (o.total * o.low + {rules.PRIOR} * a.low) // (o.total + {rules.PRIOR}) AS low,
-  (o.total * o.high + {rules.PRIOR} * a.high) // (o.total + {rules.PRIOR}) AS high FROM own_q o JOIN all_q a USING (feature)),
+sizes AS (SELECT feature, sum(n) AS size FROM corpus_bucketed GROUP BY feature),
+leaning AS (SELECT lang, source, feature, b, sum(n) AS n FROM (
+    SELECT lang, source, feature, b, n * size AS n FROM bucketed JOIN sizes USING (feature)
+    UNION ALL SELECT lang, source, feature, b, n * {rules.PRIOR} FROM (SELECT DISTINCT lang, source, feature FROM bucketed) JOIN corpus_bucketed USING (feature))
+  GROUP BY ALL),
+running AS (SELECT lang, source, feature, {tops} AS top, sum(n) {per} ORDER BY b) AS upto, sum(n) {per}) AS total
+  FROM (SELECT *, greatest(b // {sub} - 1, 0) AS e FROM leaning)),
+drawn AS (SELECT lang, source, feature, min(top) FILTER (WHERE upto * 100 >= total * {by_feature("low")}) AS low,
+  min(top) FILTER (WHERE upto * 100 >= total * {by_feature("high")}) AS high FROM running GROUP BY lang, source, feature),
 fence AS (SELECT lang, source, feature, low - gap AS lo, high + gap AS hi
   FROM (SELECT *, greatest((high - low) * {by_feature("spread")}, {by_feature("floor")}) AS gap FROM drawn)),
 fence_row AS (SELECT lang, source, {wide} FROM fence GROUP BY lang, source),

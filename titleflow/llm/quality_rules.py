@@ -6,17 +6,16 @@ from a mergeable quantile sketch, and a document fails when a feature lies
 beyond ``high + max(spread * (high - low), floor)`` (for word length also
 below the mirrored fence).  Features that vary in any text take the quartiles;
 repetition, which most texts have none of, takes the median and the upper
-tenth; repeated lines the upper tenth and hundredth.  ``floor`` only allows
-for the rounding of the sketch.
+tenth; repeated lines the upper tenth and hundredth.  ``floor`` allows
+for the rounding of the sketch and, for repetition, for groups that have next to none.
 
 The sketch is a log-linear histogram over whole numbers: a value below
 ``2 * SUB`` is its own bucket, above that each power of two is cut in ``SUB``
 buckets, so a quantile is off by at most 1/SUB of its value.  Two sketches
 merge by adding their counts; Spark therefore builds them map-side and a hot
-source costs one small row per bucket and task.  A group's quantiles are drawn
-to those of the merged (whole-corpus) sketch as if ``prior`` documents of the
-corpus were among its own: a small group leans on the corpus, a large one
-hardly, and no size makes a jump.
+source costs one small row per bucket and task.  To every group's sketch the
+corpus's is added with the weight of ``prior`` documents: a small group leans
+on the corpus, a large one hardly, and no size makes a jump.
 
 Features are whole numbers in thousandths, so every engine gets the same
 values.  Cases: a null or empty text has no words (base_failed); null lang or
@@ -53,11 +52,11 @@ class Fence(NamedTuple):
 FEATURES: dict[str, Fence] = {
     "f_marks": Fence(25, 75, 4, 20),  # ASCII punctuation and symbols per word
     "f_dup_line": Fence(90, 99, 1, 50),  # lines equal to an earlier one
-    "f_repeat": Fence(50, 90, 8, 50),  # words in repeated three-word windows
+    "f_repeat": Fence(50, 90, 8, 200),  # words in repeated three-word windows
     "f_upper": Fence(25, 75, 12, 20),  # A-Z per word character
-    "f_word_len": Fence(25, 75, 4, 200, both=True),  # code points per word
+    "f_word_len": Fence(25, 75, 4, 1000, both=True),  # code points per word
 }
-PRIOR = 100
+PRIOR = 30
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -169,19 +168,27 @@ def by_feature(part: str) -> Column:
 
 
 def quantiles(sketches: DataFrame, group: list[str]) -> DataFrame:
-    """(group, feature, total, low, high): the top of the bucket where each of the feature's two quantiles is reached."""
+    """(group, feature, low, high): the top of the bucket where each of the feature's two quantiles is reached."""
     per = Window.partitionBy(*group, "feature")
     running = per.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     at = sketches.withColumns({"upto": F.sum("n").over(running), "total": F.sum("n").over(per), "top": bucket_top(F.col("bucket"))})
     reached = lambda part: F.min(F.when(F.col("upto") * 100 >= F.col("total") * by_feature(part), F.col("top")))
-    return at.groupBy(*group, "feature").agg(F.max("total").alias("total"), reached("low").alias("low"), reached("high").alias("high"))
+    return at.groupBy(*group, "feature").agg(reached("low").alias("low"), reached("high").alias("high"))
+
+
+def leaning(sketches: DataFrame, group: list[str], prior: int) -> DataFrame:
+    """Each group's sketch and the corpus's with the weight of ``prior`` documents, all weights times the corpus's size (so they stay whole)."""
+    whole = lambda c: F.col(c).cast("decimal(38,0)")
+    corpus = merge(sketches, [])
+    sizes = corpus.groupBy("feature").agg(F.sum("n").alias("size"))
+    own = sketches.join(sizes, "feature").select(*group, "feature", "bucket", (whole("n") * whole("size")).cast("decimal(38,0)").alias("n"))
+    added = sketches.select(*group, "feature").distinct().join(corpus, "feature").select(*group, "feature", "bucket", (whole("n") * prior).cast("decimal(38,0)").alias("n"))
+    return merge(own.unionByName(added), group)
 
 
 def fences(sketches: DataFrame, group: list[str], prior: int = PRIOR) -> DataFrame:
     """One row per group with ``<feature>_lo`` and ``<feature>_hi``."""
-    corpus = quantiles(merge(sketches, []), []).select("feature", F.col("low").alias("c_low"), F.col("high").alias("c_high"))
-    drawn = lambda q: F.expr(f"(total * {q} + {prior} * c_{q}) div (total + {prior})")
-    own = quantiles(sketches, group).join(corpus, "feature").withColumns({"low": drawn("low"), "high": drawn("high")})
+    own = quantiles(leaning(sketches, group, prior), group)
     gap = F.greatest((F.col("high") - F.col("low")) * by_feature("spread"), by_feature("floor"))
     wide = own.select(*group, "feature", (F.col("low") - gap).alias("lo"), (F.col("high") + gap).alias("hi"))
     picks = [F.max(F.when(F.col("feature") == f, F.col(side))).alias(f"{f}_{side}") for f in FEATURES for side in ("lo", "hi")]
