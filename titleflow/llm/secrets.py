@@ -6,9 +6,10 @@ the matches add up to code-point offsets.
 
 ``ownership`` hashes every candidate value and counts, over the whole corpus,
 the distinct owners and repositories it appears with.  A value that is spread
-over more than ``max_owners`` owners is a copied example; one that stays with
-few owners and looks live (mixed characters, no run of one character) is
-taken for a real credential.  Base spans stay whatever their verdict; long
+over more than ``max_owners`` owners, or by few owners over more than
+``max_repos`` repositories each on average, is a copied example; one that
+stays with few owners and repositories and looks live (mixed characters, no
+run of one character) is taken for a real credential.  Base spans stay whatever their verdict; long
 mixed tokens that no base pattern covers become ``owned`` spans when they are
 owner-specific and live-looking.
 
@@ -35,6 +36,7 @@ KINDS: list[tuple[str, str, int, int]] = [
 #: The method's own candidates: long tokens; ``scan`` keeps those with letters and digits.
 OWNED = ("owned", r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{20,}", 0, 20)
 MAX_OWNERS = 2
+MAX_REPOS = 3
 
 
 def spans(text: Column, kind: str, rank: int, pattern: str, group: int, least: int) -> Column:
@@ -81,7 +83,7 @@ def live_looking(value: Column) -> Column:
     return value.rlike("[0-9]") & value.rlike("[A-Za-z]") & ~value.rlike(r"(.)\1{3}")
 
 
-def ownership(found: DataFrame, owner: str, repo: str, max_owners: int = MAX_OWNERS) -> DataFrame:
+def ownership(found: DataFrame, owner: str, repo: str, max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """(secret, n_owners, n_repos, n_uses, verdict) of every candidate hash in ``found`` (secret, live, owner, repo).
 
     Rows are first cut to one per (secret, owner, repository), map-side, so a
@@ -90,11 +92,12 @@ def ownership(found: DataFrame, owner: str, repo: str, max_owners: int = MAX_OWN
     per_repo = found.groupBy("secret", F.col(owner).alias("o"), F.col(repo).alias("r")).agg(F.count(F.lit(1)).alias("n"), F.max("live").alias("live"))
     per_owner = per_repo.groupBy("secret", "o").agg(F.count(F.lit(1)).alias("n_repos"), F.sum("n").alias("n"), F.max("live").alias("live"))
     totals = per_owner.groupBy("secret").agg(F.count(F.lit(1)).alias("n_owners"), F.sum("n_repos").alias("n_repos"), F.sum("n").alias("n_uses"), F.max("live").alias("live"))
-    verdict = F.when(F.col("n_owners") > max_owners, F.lit("example")).when(F.col("live"), F.lit("live")).otherwise(F.lit("weak"))
+    spread = (F.col("n_owners") > max_owners) | (F.col("n_repos") > F.col("n_owners") * max_repos)
+    verdict = F.when(spread, F.lit("example")).when(F.col("live"), F.lit("live")).otherwise(F.lit("weak"))
     return totals.select("secret", "n_owners", "n_repos", "n_uses", verdict.alias("verdict"))
 
 
-def find(docs: DataFrame, keep: list[str], owner: list[str], repo: list[str], text: str = "text", max_owners: int = MAX_OWNERS) -> DataFrame:
+def find(docs: DataFrame, keep: list[str], owner: list[str], repo: list[str], text: str = "text", max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS) -> DataFrame:
     """Columns ``keep``, ``base`` and ``all`` (arrays of spans), ``n_live`` and ``n_example``.
 
     ``owner`` and ``repo`` name the columns that make up an owner and a repository.
@@ -111,7 +114,7 @@ def find(docs: DataFrame, keep: list[str], owner: list[str], repo: list[str], te
     each = scanned.select("row", "o", "r", F.explode(F.concat("base", "candidate")).alias("s")).select(
         "row", "o", "r", "s", F.sha2(F.col("s.value"), 256).alias("secret"), live_looking(F.col("s.value")).alias("live")
     )
-    judged = materialise(ownership(each, "o", "r", max_owners).select("secret", "verdict"), "secret-owners")
+    judged = materialise(ownership(each, "o", "r", max_owners, max_repos).select("secret", "verdict"), "secret-owners")
     verdicts = (
         each.join(judged, "secret")
         .groupBy("row")
