@@ -70,6 +70,16 @@ def test_links_connect_all_pairs_within_the_budget(spark, bits, block):
     assert union([(r["a"], r["b"]) for r in found], signed) == want
 
 
+def test_no_task_grows_with_a_crowded_neighbour(spark):
+    """Three quarters of all fingerprints share their first bits in both halves, so one block is crowded and a guest of its neighbours."""
+    draw = np.random.default_rng(5)
+    crowd = draw.integers(0, 2**63, 3000, dtype=np.uint64) & np.uint64(0x00FFFFFF00FFFFFF) | np.uint64(0x6B0000006B000000)
+    values = np.unique(np.concatenate([crowd, draw.integers(0, 2**63, 1000, dtype=np.uint64)])).view(np.int64).tolist()
+    tasks = simhash.dealt(spark.createDataFrame([(v,) for v in values], "fp bigint"), 4, 64)
+    sizes = tasks.groupBy("trie", "block", "first", "second", "party", "probe").count()
+    assert sizes.agg(F.max("count")).first()[0] < 3 * 64
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (101, 101)], "a bigint, b bigint")
     got = {r["node"]: r["label"] for r in graph.components(edges).collect()}
@@ -201,6 +211,15 @@ def test_ownership_separates_examples_from_live(make_docs, none, edge):
     assert secrets.find(none, ["doc_id"], ["source"], ["lang"]).count() == 0
 
 
+def test_repositories_count_as_well_as_owners(make_docs):
+    few, many = "Zk9_qLw83Xv7Tb2Rm5Yd1Pc", "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op"
+    docs = [(i, f"use {few}", f"l{i}", "s") for i in range(3)] + [(10 + i, f"use {many}", f"l{i}", "s") for i in range(4)]
+    docs += [(20, f"use {few}", "l0", "s"), (21, f"use {few}", "l0", "s")]  # copies in a repository do not count
+    found = secrets.find(make_docs(docs), ["doc_id"], ["source"], ["source", "lang"]).select("doc_id", secrets.rendered("all").alias("s"))
+    owned = f"owned:4:{4 + len(few)}"
+    assert {r["doc_id"]: r["s"] for r in found.collect()} == {**dict.fromkeys([0, 1, 2, 20, 21], owned), **dict.fromkeys(range(10, 14), "")}
+
+
 def test_a_token_is_owned_wherever_its_first_digit_or_letter_stands(make_docs):
     late = ["abcdefghij" * 7 + "1", "1234567_" * 9 + "Z", "abcdefghij" * 7, "1234567_" * 9]
     docs = make_docs([(i, f"see {t} here") for i, t in enumerate(late)])

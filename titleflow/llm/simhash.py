@@ -15,8 +15,9 @@ below their first 32 levels both allow ``max_bits``.
 The top levels of the walk are done by Spark: a trie is cut in blocks by its
 first levels, and each fingerprint goes to its own block and to the lower
 numbered blocks within the budget.  A block that holds more than ``BLOCK``
-fingerprints is cut in chunks, whose pairs are tasks of their own, so no task
-grows with a crowded neighbourhood.  A task returns a spanning forest of the
+fingerprints is cut in chunks, whose pairs are tasks of their own, and guests
+beyond ``BLOCK`` in parties, each held against every chunk; so no task grows
+with a crowded neighbourhood.  A task returns a spanning forest of the
 links it finds (at most one edge per fingerprint), not all pairs: components
 keep every link.
 
@@ -210,8 +211,8 @@ def block_links(home: np.ndarray, probe: np.ndarray, self_join: bool, half: int,
 # --- the join ---------------------------------------------------------------
 
 
-def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) that connect all of ``distinct`` (fp) within ``max_bits``."""
+def dealt(distinct: DataFrame, max_bits: int, block: int) -> DataFrame:
+    """(trie, block, first, second, party, key, probe): the fingerprints of every task of the join."""
     count = distinct.count()
     levels = min(HALF, max(MIN_LEVELS, math.ceil(math.log2(max(count, 1) / block))))
     tries = budgets(max_bits)
@@ -233,9 +234,15 @@ def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFra
         .join(crowded, ["trie", "block"], "left")
         .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     )
-    # Tasks of a block in chunks are the pairs of chunks: i with itself (and the guests), i with j.
+    # Guests are dealt out as well: a crowded block is a guest to its neighbours.
+    parties = spread.where("guest").groupBy("trie", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
+    parties = materialise(parties.select("trie", "block", F.ceil(F.col("n") / block).cast("int").alias("parties")), "crowded-guests")
+    spread = spread.join(parties, ["trie", "block"], "left").withColumn("parties", F.coalesce("parties", F.lit(1)))
+    # Tasks of a block in chunks are the pairs of chunks: i with itself (and one party of guests), i with j.
+    # Parties after the first meet chunk i without its own pairs.
     mine = F.when(F.col("guest"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
-    tasks = (
+    party = F.pmod(F.xxhash64("key", F.lit(1)), F.col("parties")).cast("int")
+    return (
         spread.withColumn("mine", mine)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumns(
@@ -245,21 +252,34 @@ def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFra
             }
         )
         .withColumn("probe", F.col("guest") | ((F.col("first") != F.col("second")) & (F.col("mine") == F.col("second"))))
-        .select("trie", "block", "first", "second", "key", "probe")
+        .withColumn(
+            "party",
+            F.explode(
+                F.when(F.col("guest"), F.array(party))
+                .when(F.col("first") == F.col("second"), F.sequence(F.lit(0), F.col("parties") - 1))
+                .otherwise(F.array(F.lit(0)))
+            ),
+        )
+        .select("trie", "block", "first", "second", "party", "key", "probe")
     )
+
+
+def links(distinct: DataFrame, max_bits: int = 4, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) that connect all of ``distinct`` (fp) within ``max_bits``."""
+    tries = budgets(max_bits)
     halves = [e for _, e in tries]
     shifts = [r for r, _ in tries]
 
     def run(task: pa.Table) -> pa.Table:
-        trie, first, second = (task.column(c)[0].as_py() for c in ("trie", "first", "second"))
+        trie, first, second, party = (task.column(c)[0].as_py() for c in ("trie", "first", "second", "party"))
         key = task.column("key").to_numpy().view(np.uint64)
         probe = task.column("probe").to_numpy()
-        a, b = block_links(key[~probe], key[probe], first == second, halves[trie], max_bits)
+        a, b = block_links(key[~probe], key[probe], first == second and party == 0, halves[trie], max_bits)
         if shifts[trie]:
             a, b = ((x << np.uint64(HALF)) | (x >> np.uint64(HALF)) for x in (a, b))
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    return tasks.groupBy("trie", "block", "first", "second").applyInArrow(run, "a bigint, b bigint")
+    return dealt(distinct, max_bits, block).groupBy("trie", "block", "first", "second", "party").applyInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4, max_bits: int = 4) -> DataFrame:
