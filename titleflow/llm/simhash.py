@@ -16,7 +16,7 @@ The top levels of the walk are done by Spark: a trie is cut in blocks by its
 first levels, and each fingerprint goes to its own block and to the lower
 numbered blocks within the budget.  A block that holds more than ``BLOCK``
 fingerprints is cut in chunks, whose pairs are tasks of their own, and guests
-beyond ``BLOCK`` in parties, each held against every chunk; so no task grows
+beyond ``PARTY * BLOCK`` in parties, each held against every chunk; so no task grows
 with a crowded neighbourhood.  A task returns a spanning forest of the
 links it finds (at most one edge per fingerprint), not all pairs: components
 keep every link.
@@ -46,6 +46,8 @@ HALF = 32
 #: Fingerprints of one block, or chunk of a block, and the least levels cut (so that few fingerprints still spread over cores).
 BLOCK = 1 << 15
 MIN_LEVELS = 3
+#: Guests that meet a chunk at once, in blocks: every further party reads the chunk anew.
+PARTY = 8
 #: Node pairs walked at once, and the size at which two nodes are compared leaf by leaf.
 WALK, LEAF = 1 << 19, 32
 
@@ -223,21 +225,18 @@ def dealt(distinct: DataFrame, max_bits: int, block: int) -> DataFrame:
         .withColumn("key", rotated)
         .withColumn("home", own)
     )
-    sizes = rows.groupBy("trie", "home").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    crowded = materialise(sizes.select("trie", F.col("home").alias("block"), F.ceil(F.col("n") / block).cast("int").alias("chunks")), "crowded-blocks")
     reach = F.array(F.lit(0).cast("bigint"), *[F.lit(m).cast("bigint") for m in masks(levels, max(e for _, e in tries))])
     allowed = F.element_at(F.array(*[F.lit(e) for _, e in tries]), F.col("trie") + 1)
     spread = (
         rows.withColumn("mask", F.explode(reach))
         .where((F.bit_count("mask") <= allowed) & (F.col("home").bitwiseXOR(F.col("mask")) <= F.col("home")))
         .select("trie", F.col("home").bitwiseXOR(F.col("mask")).alias("block"), "key", (F.col("mask") != 0).alias("guest"))
-        .join(crowded, ["trie", "block"], "left")
-        .withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     )
-    # Guests are dealt out as well: a crowded block is a guest to its neighbours.
-    parties = spread.where("guest").groupBy("trie", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block)
-    parties = materialise(parties.select("trie", "block", F.ceil(F.col("n") / block).cast("int").alias("parties")), "crowded-guests")
-    spread = spread.join(parties, ["trie", "block"], "left").withColumn("parties", F.coalesce("parties", F.lit(1)))
+    # One row a block, about one per BLOCK fingerprints.  Guests are dealt out as well: a crowded block is a guest to its neighbours.
+    sizes = spread.groupBy("trie", "block").agg(F.count_if(~F.col("guest")).alias("own"), F.count_if("guest").alias("guests"))
+    pieces = lambda n, size: F.greatest(F.ceil(F.col(n) / size).cast("int"), F.lit(1))
+    sizes = materialise(sizes.select("trie", "block", pieces("own", block).alias("chunks"), pieces("guests", PARTY * block).alias("parties")), "block-sizes")
+    spread = spread.join(sizes, ["trie", "block"])
     # Tasks of a block in chunks are the pairs of chunks: i with itself (and one party of guests), i with j.
     # Parties after the first meet chunk i without its own pairs.
     mine = F.when(F.col("guest"), F.lit(-1)).otherwise(F.pmod(F.xxhash64("key"), F.col("chunks")).cast("int"))
