@@ -91,3 +91,18 @@ def test_own_rating_never_enters_own_features(spark):
     assert low["t1"].director_score_mean == 6.0 and low["t1"].writer_score_mean == 6.5
     # t9 is no training title: nothing is left out.
     assert low["t9"].actor_score_max == 5.0 and low["t9"].writer_score_mean == 2.0 and low["t9"].director_score_mean == 5.0
+
+
+def test_credits_get_more_tasks_than_the_session_names(spark, monkeypatch):
+    from titleflow.operators import features as Fe
+
+    principals = spark.createDataFrame(
+        [(f"t{i % 40}" if i % 11 else None, str(i % 3), f"n{i % 7}", "actor" if i % 2 else "self") for i in range(300)], "tconst string, ordering string, nconst string, category string"
+    )
+    crew = spark.createDataFrame([(f"t{i}", f"n{i % 5},n1", "\\N" if i % 3 else "n2") for i in range(40)], "tconst string, directors string, writers string")
+    ratings = spark.createDataFrame([(f"t{i % 38}", i / 10) for i in range(60)], "tconst string, averageRating double")
+    plain = sorted(map(str, Fe.person_stats(principals, crew, ratings).collect()))
+    monkeypatch.setattr(Fe, "TASK_CREDITS", 10)
+    dealt = Fe.title_credits(principals, crew, ratings)
+    assert "REPARTITION_BY_NUM" in dealt._jdf.queryExecution().toString() and "hashpartitioning(tconst" in dealt._jdf.queryExecution().toString()
+    assert sorted(map(str, Fe.person_stats(principals, crew, ratings).collect())) == plain and plain

@@ -17,12 +17,19 @@ from titleflow.operators.assemble import people_long
 ROLE_LISTS = (("actors", "actor"), ("directors", "director"), ("writers", "writer"))
 SCORE_COLS = tuple(f"{role}_score_{s}" for _, role in ROLE_LISTS for s in ("mean", "max"))
 NUMERIC_COLS = SCORE_COLS + ("numVotes_log1p", "startYear_z")
+# Principals and ratings whose titles one task reduces, about.
+TASK_CREDITS = 500_000
 
 
 # ------------------------------------------------------------------ lookups
 def title_credits(principals: DataFrame, crew: DataFrame, ratings: DataFrame, titles: DataFrame | None = None) -> DataFrame:
     """(tconst, role, nconst, rating): each person once per rated title and role."""
     long = people_long(principals, crew).filter(F.col("nconst") != NULL_MARKER)
+    # A task holds its titles' credits: where the session's partitions would get too many, there are more of them.
+    spark = ratings.sparkSession
+    tasks = -(-(principals.count() + ratings.count()) // TASK_CREDITS)
+    if tasks > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        long = long.repartition(tasks, "tconst")
     return long.join(_rated(ratings, titles), "tconst").groupBy("tconst", "role", "nconst").agg(F.max("averageRating").alias("rating"))
 
 
